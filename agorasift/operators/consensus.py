@@ -1,0 +1,155 @@
+"""Consensus from several annotators' labels (problem 2).
+
+Expectation-maximisation over per-annotator confusion matrices: the posterior of an item's label is
+the product of the class prior and of each annotator's row of confusion probabilities; the
+matrices are then estimated anew from the posteriors. Matrices are smoothed towards the pooled
+matrix of all annotators, so rare annotators behave like the average one. Both label fields run
+through the same rounds. State is one row per (field, annotator, label), never larger.
+"""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from agorasift.session import cut
+
+# The label names of the two fields in their order.
+LEANINGS = ("FAR_LEFT", "LEFT", "CENTER_LEFT", "CENTER", "CENTER_RIGHT", "RIGHT", "FAR_RIGHT")
+SENTIMENTS = ("VERY_NEGATIVE", "NEGATIVE", "NEUTRAL", "POSITIVE", "VERY_POSITIVE")
+FIELDS = {"political_leaning": LEANINGS, "sentiment": SENTIMENTS}
+WIDTH = max(map(len, FIELDS.values()))
+
+
+def canonical(label: Column) -> Column:
+    """Upper case, no padding, words joined by one underscore."""
+    return F.upper(F.regexp_replace(F.regexp_replace(label, r"(?U)^[\s_\-]+|[\s_\-]+$", ""), r"(?U)[\s_\-]+", "_"))
+
+
+def current_annotations(annotations: DataFrame) -> DataFrame:
+    """One row per (item, annotator): the latest created_at counts, ties by the larger seq."""
+    rows = annotations.where("item_id is not null and annotator_id is not null")
+    newest = F.max_by(F.struct(*FIELDS), F.struct(F.coalesce("created_at", F.lit("0001-01-01").cast("timestamp")), F.coalesce("seq", F.lit(-1))))
+    return rows.groupBy("item_id", "annotator_id").agg(newest.alias("r")).select("item_id", "annotator_id", *[F.col(f"r.{f}").alias(f) for f in FIELDS])
+
+
+def label_rows(current: DataFrame) -> DataFrame:
+    """``kind, item_id, annotator_id, l`` (l: index of the label); UNKNOWN, null and odd labels give none."""
+    kinds = F.array(*[F.struct(F.lit(f).alias("kind"), (F.array_position(F.array(*map(F.lit, names)), canonical(F.col(f))) - 1).alias("l")) for f, names in FIELDS.items()])
+    return current.select("item_id", "annotator_id", F.explode(kinds).alias("x")).select("x.kind", "item_id", "annotator_id", F.col("x.l").cast("int").alias("l")).where("l >= 0")
+
+
+def _p(k: int) -> str:
+    return f"p{k}"
+
+
+PS = [_p(k) for k in range(WIDTH)]
+_size = F.when(F.col("kind") == "sentiment", len(SENTIMENTS)).otherwise(len(LEANINGS))
+
+
+def _softmax(logs: list[Column]) -> list[Column]:
+    top = F.greatest(*logs)
+    e = [F.exp(x - top) for x in logs]
+    total = reduce(lambda x, y: x + y, e)
+    return [x / total for x in e]
+
+
+def _maximise(labels: DataFrame, posterior: DataFrame, smoothing: float) -> tuple[DataFrame, DataFrame]:
+    """(log confusion per kind, annotator, label; log prior per kind) from posteriors p0.. per (kind, item)."""
+    c = labels.join(posterior, ["kind", "item_id"]).groupBy("kind", "annotator_id", "l").agg(*[F.sum(p).alias(p) for p in PS])
+    c = cut(c)
+    pooled = c.groupBy("kind", "l").agg(*[F.sum(p).alias(f"g{k}") for k, p in enumerate(PS)])
+    of_kind = Window.partitionBy("kind")
+    # at most one row per label of a field: 12 rows
+    pooled = pooled.select("kind", "l", *[((F.col(f"g{k}") + 0.5) / (F.sum(f"g{k}").over(of_kind) + 0.5 * _size)).alias(f"g{k}") for k in range(WIDTH)])
+    own = Window.partitionBy("kind", "annotator_id")
+    conf = c.join(F.broadcast(pooled), ["kind", "l"]).select(
+        "kind", "annotator_id", "l",
+        *[F.log((F.col(p) + smoothing * F.col(f"g{k}")) / (F.sum(p).over(own) + smoothing)).alias(f"c{k}") for k, p in enumerate(PS)],
+    )
+    mass = posterior.groupBy("kind").agg(*[F.sum(p).alias(p) for p in PS], F.count("*").alias("n"))
+    prior = mass.select("kind", *[F.when(F.lit(k) < _size, F.log((F.col(p) + 1) / (F.col("n") + _size))).otherwise(F.lit(-1e9)).alias(f"q{k}") for k, p in enumerate(PS)])
+    return conf, prior
+
+
+def _expect(labels: DataFrame, conf: DataFrame, prior: DataFrame) -> DataFrame:
+    sums = labels.join(conf, ["kind", "annotator_id", "l"]).groupBy("kind", "item_id").agg(*[F.sum(f"c{k}").alias(f"s{k}") for k in range(WIDTH)])
+    joined = sums.join(F.broadcast(prior), "kind")  # two rows
+    logs = [F.col(f"s{k}") + F.col(f"q{k}") for k in range(WIDTH)]
+    return joined.select("kind", "item_id", *[x.alias(_p(k)) for k, x in enumerate(_softmax(logs))])
+
+
+def estimate(labels: DataFrame, rounds: int = 10, smoothing: float = 6.0) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(posterior per kind and item, log confusion, log prior) after ``rounds`` of expectation-maximisation.
+
+    Starts from vote shares. ``smoothing`` counts as so many labels that follow the pooled matrix.
+    """
+    votes = labels.groupBy("kind", "item_id").agg(*[F.sum((F.col("l") == k).cast("double")).alias(f"v{k}") for k in range(WIDTH)], F.count("*").alias("n"))
+    post = votes.select("kind", "item_id", *[F.when(F.lit(k) < _size, (F.col(f"v{k}") + 0.1) / (F.col("n") + 0.1 * _size)).otherwise(F.lit(0.0)).alias(_p(k)) for k in range(WIDTH)])
+    conf, prior = _maximise(labels, post, smoothing)
+    for _ in range(rounds - 1):
+        conf, prior = _maximise(labels, _expect(labels, conf, prior), smoothing)
+    conf, prior = cut(conf), cut(prior)
+    return _expect(labels, conf, prior), conf, prior
+
+
+def consensus(annotations: DataFrame, rounds: int = 10, smoothing: float = 6.0) -> tuple[DataFrame, DataFrame]:
+    """(consensus per ``kind, item_id``; reliability per annotator).
+
+    Consensus: ``label, probability, annotators`` for items with at least two different annotators
+    and a usable label; ties go to the label that comes first in its field's order. Reliability: ``n, hits, expected,
+    skill, z``: ``hits`` are the labels' agreement with the consensus of the *other* annotators,
+    ``expected`` what the same label habits would hit by chance, ``skill`` = (hits - expected) /
+    (n - expected). Annotators without a usable label give no row; an empty table gives empty results.
+    """
+    current = cut(current_annotations(annotations))
+    labels = cut(label_rows(current))
+    post, conf, prior = estimate(labels, rounds, smoothing)
+    post = cut(post)
+    several = current.groupBy("item_id").agg(F.count("*").alias("annotators")).where("annotators >= 2")
+    top = F.greatest(*PS)
+    index = F.coalesce(*[F.when(F.col(p) == top, F.lit(k)) for k, p in enumerate(PS)])
+    name = F.when(F.col("kind") == "sentiment", F.element_at(F.array(*map(F.lit, SENTIMENTS)), F.least(index, F.lit(len(SENTIMENTS) - 1)) + 1)).otherwise(F.element_at(F.array(*map(F.lit, LEANINGS)), index + 1))
+    labelled = post.join(several, "item_id").select("kind", "item_id", name.alias("label"), top.alias("probability"), "annotators")
+
+    # leave one out: take the annotator's own factor off the posterior
+    rows = labels.join(post, ["kind", "item_id"]).join(conf, ["kind", "annotator_id", "l"])
+    rows = rows.join(several.select("item_id"), "item_id", "left_semi")
+    rest = _softmax([F.when(F.col(p) > 0, F.log(p)).otherwise(F.lit(-1e6)) - F.col(f"c{k}") for k, p in enumerate(PS)])
+    rows = rows.select("kind", "annotator_id", "l", *[x.alias(_p(k)) for k, x in enumerate(rest)])
+    hit = F.element_at(F.array(*PS), F.col("l") + 1)
+    cells = rows.groupBy("kind", "annotator_id", "l").agg(F.count("*").alias("n"), F.sum(hit).alias("hits"))
+    truth = rows.groupBy("kind", "annotator_id").agg(F.count("*").alias("m"), *[F.sum(p).alias(p) for p in PS])
+    per = (
+        cells.join(truth, ["kind", "annotator_id"])
+        .withColumn("expected", F.col("n") * F.element_at(F.array(*PS), F.col("l") + 1) / F.col("m"))
+        .groupBy("annotator_id")
+        .agg(F.sum("n").alias("n"), F.sum("hits").alias("hits"), F.sum("expected").alias("expected"))
+    )
+    skill = (F.col("hits") - F.col("expected")) / F.greatest(F.col("n") - F.col("expected"), F.lit(1e-9))
+    spread = F.sqrt(F.greatest(F.col("expected") * (1 - F.col("expected") / F.col("n")), F.lit(1e-9)))
+    per = per.withColumn("skill", skill).withColumn("z", (F.col("hits") - F.col("expected")) / spread)
+    return labelled, per
+
+
+def item_agreement(annotations: DataFrame) -> DataFrame:
+    """Chance-corrected agreement per ``kind, item_id``: ``raters, observed, expected, kappa``.
+
+    ``observed`` is the share of agreeing pairs of the item's annotators, ``expected`` that of two
+    labels drawn from all labels of the field, ``kappa`` = (observed - expected) / (1 - expected),
+    null where the field has one label only. Items with fewer than two usable labels give no row.
+    """
+    labels = label_rows(current_annotations(annotations))
+    cells = labels.groupBy("kind", "item_id", "l").agg(F.count("*").alias("n"))
+    items = cells.groupBy("kind", "item_id").agg(F.sum("n").alias("raters"), F.sum(F.col("n") * (F.col("n") - 1)).alias("same"))
+    freq = cells.groupBy("kind", "l").agg(F.sum("n").alias("m"))
+    by_kind = freq.groupBy("kind").agg(F.sum(F.col("m") * F.col("m")).alias("sq"), F.sum("m").alias("t"))
+    by_kind = by_kind.select("kind", (F.col("sq") / (F.col("t") * F.col("t"))).alias("expected"))
+    observed = F.col("same") / (F.col("raters") * (F.col("raters") - 1))
+    return (
+        items.where("raters >= 2").join(F.broadcast(by_kind), "kind")  # two rows
+        .select("kind", "item_id", "raters", observed.alias("observed"), "expected")
+        .withColumn("kappa", F.when(F.col("expected") < 1, (F.col("observed") - F.col("expected")) / (1 - F.col("expected"))))
+    )
