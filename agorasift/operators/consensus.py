@@ -46,7 +46,10 @@ def _p(k: int) -> str:
 
 
 PS = [_p(k) for k in range(WIDTH)]
-_size = F.when(F.col("kind") == "sentiment", len(SENTIMENTS)).otherwise(len(LEANINGS))
+
+
+def _size() -> Column:
+    return F.when(F.col("kind") == "sentiment", len(SENTIMENTS)).otherwise(len(LEANINGS))
 
 
 def _softmax(logs: list[Column]) -> list[Column]:
@@ -63,14 +66,14 @@ def _maximise(labels: DataFrame, posterior: DataFrame, smoothing: float) -> tupl
     pooled = c.groupBy("kind", "l").agg(*[F.sum(p).alias(f"g{k}") for k, p in enumerate(PS)])
     of_kind = Window.partitionBy("kind")
     # at most one row per label of a field: 12 rows
-    pooled = pooled.select("kind", "l", *[((F.col(f"g{k}") + 0.5) / (F.sum(f"g{k}").over(of_kind) + 0.5 * _size)).alias(f"g{k}") for k in range(WIDTH)])
+    pooled = pooled.select("kind", "l", *[((F.col(f"g{k}") + 0.5) / (F.sum(f"g{k}").over(of_kind) + 0.5 * _size())).alias(f"g{k}") for k in range(WIDTH)])
     own = Window.partitionBy("kind", "annotator_id")
     conf = c.join(F.broadcast(pooled), ["kind", "l"]).select(
         "kind", "annotator_id", "l",
         *[F.log((F.col(p) + smoothing * F.col(f"g{k}")) / (F.sum(p).over(own) + smoothing)).alias(f"c{k}") for k, p in enumerate(PS)],
     )
     mass = posterior.groupBy("kind").agg(*[F.sum(p).alias(p) for p in PS], F.count("*").alias("n"))
-    prior = mass.select("kind", *[F.when(F.lit(k) < _size, F.log((F.col(p) + 1) / (F.col("n") + _size))).otherwise(F.lit(-1e9)).alias(f"q{k}") for k, p in enumerate(PS)])
+    prior = mass.select("kind", *[F.when(F.lit(k) < _size(), F.log((F.col(p) + 1) / (F.col("n") + _size()))).otherwise(F.lit(-1e9)).alias(f"q{k}") for k, p in enumerate(PS)])
     return conf, prior
 
 
@@ -87,7 +90,7 @@ def estimate(labels: DataFrame, rounds: int = 10, smoothing: float = 6.0) -> tup
     Starts from vote shares. ``smoothing`` counts as so many labels that follow the pooled matrix.
     """
     votes = labels.groupBy("kind", "item_id").agg(*[F.sum((F.col("l") == k).cast("double")).alias(f"v{k}") for k in range(WIDTH)], F.count("*").alias("n"))
-    post = votes.select("kind", "item_id", *[F.when(F.lit(k) < _size, (F.col(f"v{k}") + 0.1) / (F.col("n") + 0.1 * _size)).otherwise(F.lit(0.0)).alias(_p(k)) for k in range(WIDTH)])
+    post = votes.select("kind", "item_id", *[F.when(F.lit(k) < _size(), (F.col(f"v{k}") + 0.1) / (F.col("n") + 0.1 * _size())).otherwise(F.lit(0.0)).alias(_p(k)) for k in range(WIDTH)])
     conf, prior = _maximise(labels, post, smoothing)
     for _ in range(rounds - 1):
         conf, prior = _maximise(labels, _expect(labels, conf, prior), smoothing)
