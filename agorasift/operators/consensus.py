@@ -72,8 +72,10 @@ def _maximise(labels: DataFrame, posterior: DataFrame, smoothing: float) -> tupl
         "kind", "annotator_id", "l",
         *[F.log((F.col(p) + smoothing * F.col(f"g{k}")) / (F.sum(p).over(own) + smoothing)).alias(f"c{k}") for k, p in enumerate(PS)],
     )
-    mass = posterior.groupBy("kind").agg(*[F.sum(p).alias(p) for p in PS], F.count("*").alias("n"))
-    prior = mass.select("kind", *[F.when(F.lit(k) < _size(), F.log((F.col(p) + 1) / (F.col("n") + _size()))).otherwise(F.lit(-1e9)).alias(f"q{k}") for k, p in enumerate(PS)])
+    # class shares, weighted by the number of labels; from the same counts, so a round is one pass
+    mass = c.groupBy("kind").agg(*[F.sum(p).alias(p) for p in PS])
+    total = reduce(lambda x, y: x + y, [F.col(p) for p in PS])
+    prior = mass.select("kind", *[F.when(F.lit(k) < _size(), F.log((F.col(p) + 1) / (total + _size()))).otherwise(F.lit(-1e9)).alias(f"q{k}") for k, p in enumerate(PS)])
     return conf, prior
 
 
