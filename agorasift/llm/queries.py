@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from agorasift.llm import visible_text
+from agorasift.llm import personal_info, visible_text
 from agorasift.sources.tables import table
 
 
@@ -18,5 +18,17 @@ def p1_consistent_tags(spark: SparkSession, d: str) -> DataFrame:
     return visible_text.consistent_tags(table(spark, d, "tweets"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_consistent_tags)}
+def _spans(spark: SparkSession, d: str) -> DataFrame:
+    return personal_info.found_spans(table(spark, d, "tweets"), table(spark, d, "contributions"), table(spark, d, "candidates"))
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return _spans(spark, d).select("tweet_id", "pii_type", "pii_text").distinct()
+
+
+def p3_redacted(spark: SparkSession, d: str) -> DataFrame:
+    return personal_info.redact(table(spark, d, "tweets"), _spans(spark, d))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_consistent_tags, p3_found, p3_redacted)}
 ORACLES: dict[str, str] = {}
