@@ -16,21 +16,27 @@ from agorasift.functions.names import typo
 
 _FOLD = {ord(x): base for base, others in LATIN_LIKE.items() for x in others} | {i: None for i in (0xAD, 0x180E, 0x200B, 0x200C, 0x200D, 0x2060, 0xFE0F, 0xFEFF)}
 _AROUND = re.compile(r"https?://\S+|www\.\S+|\(?\bvia @\w+\)?|^\W*rt @\w+\W*|[@#＃]\w+", re.I)
-_WORD = re.compile(r"[぀-ヿ㐀-鿿가-힯]|[^\W_]+")
+WORD = re.compile(r"[぀-ヿ㐀-鿿가-힯]|[^\W_]+")
 #: Words in a segment; its similarity hash is one code block.
 SEGMENT = 9
-#: Of so many neighbouring segments one is kept.
-PICK = 1
 
 
-def core(text: str) -> tuple[list[str], bool]:
-    """(words in their own case; cut off with an ellipsis?) without handles, tags, links and forwarding marks."""
+_END = re.compile(r"(?:…|\.\.\.)\W*$")
+
+
+def bare(text: str) -> str:
+    """Text in one width and script of look-alikes, without handles, tags, links and forwarding marks."""
     if "&" in text:
         text = html.unescape(text)
     if not text.isascii():
         text = unicodedata.normalize("NFKC", text.translate(_FOLD)).translate(_FOLD)
-    bare = _AROUND.sub(" ", text)
-    return _WORD.findall(bare), bool(re.search(r"(…|\.\.\.)\W*$", bare))
+    return _AROUND.sub(" ", text)
+
+
+def core(text: str) -> tuple[list[str], bool]:
+    """(words in their own case; cut off with an ellipsis?)."""
+    text = bare(text)
+    return WORD.findall(text), "..." in text and _END.search(text) is not None
 
 
 @lru_cache(maxsize=500_000)
@@ -43,19 +49,18 @@ def _shape(word: str) -> bytes:
 
 
 _POWER = np.uint64(1) << np.arange(63, -1, -1, dtype=np.uint64)
-_TILT = np.unpackbits(np.frombuffer(xxhash.xxh64_digest("tilt"), np.uint8)).astype(np.int16) * 2 - 1
+_TILT = np.unpackbits(np.frombuffer(xxhash.xxh64_digest("tilt"), np.uint8)).view(np.int8) - 1
 
 
 def _pack(sums: np.ndarray) -> np.ndarray:
     """Rows of 64 signed sums -> 64-bit codes as signed integers; a sum of 0 falls by a fixed tilt."""
-    return np.packbits(sums * 2 + _TILT > 0, axis=1).view(">i8").astype(np.int64).ravel()
+    return np.packbits(sums > _TILT, axis=1).view(">i8").astype(np.int64).ravel()
 
 
 def codes(texts: list[list[str]]) -> tuple[list[int], list[list[int]]]:
-    """Per text: 64-bit similarity hash of all words (numbers and long words count double), and of chosen segments.
+    """Per text: 64-bit similarity hash of all words (numbers and long words count double), and of its segments.
 
-    A segment is ``SEGMENT`` words in a row. Of every ``PICK`` neighbouring segments the one with
-    the least hash is chosen, so any run of SEGMENT + PICK - 1 equal words gives two texts a common
+    A segment is ``SEGMENT`` words in a row, so any such run of equal words gives two texts a common
     code. A text of at most SEGMENT words has one code, that of all its words.
     """
     sizes = np.array([len(t) for t in texts])
@@ -63,28 +68,21 @@ def codes(texts: list[list[str]]) -> tuple[list[int], list[list[int]]]:
         return [0] * len(texts), [[] for _ in texts]
     raw = b"".join(_shape(w) for t in texts for w in t)
     m = np.unpackbits(np.frombuffer(raw, np.uint8)).reshape(-1, 64).astype(np.int8) * 2 - 1
-    sums = np.zeros((len(m) + 1, 64), np.int32)
-    np.cumsum(m, 0, dtype=np.int32, out=sums[1:])
     ends = np.concatenate(([0], np.cumsum(sizes)))
-    heavy = np.array([1 + (w[0].isdigit() or len(w) >= 6) for t in texts for w in t], np.int8)
-    tilted = np.zeros((len(m) + 1, 64), np.int32)
-    np.cumsum(m * heavy[:, None], 0, dtype=np.int32, out=tilted[1:])
-    whole = _pack(tilted[ends[1:]] - tilted[ends[:-1]]).tolist()
-    seg = _pack(sums[SEGMENT:] - sums[:-SEGMENT]) if len(m) >= SEGMENT else np.zeros(0, np.int64)
-    order = (seg.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(1)
+    heavy = np.fromiter((1 + (w[0].isdigit() or len(w) >= 6) for t in texts for w in t), np.int8, len(m))
+    filled = np.flatnonzero(sizes)
+    totals = np.zeros((len(texts), 64), np.int16)
+    totals[filled] = np.add.reduceat((m * heavy[:, None]).astype(np.int16), ends[:-1][filled], axis=0)
+    whole = _pack(totals).tolist()
+    seg: list[int] = []
+    if len(m) >= SEGMENT:
+        sums = m[: len(m) - SEGMENT + 1].copy()
+        for k in range(1, SEGMENT):
+            sums += m[k : len(m) - SEGMENT + 1 + k]
+        seg = _pack(sums).tolist()
     out = []
     for k, (at, n) in enumerate(zip(ends.tolist(), sizes.tolist())):
-        if n <= SEGMENT:
-            out.append([whole[k]] if n else [])
-            continue
-        last = at + n - SEGMENT + 1
-        own, rank = seg[at:last], order[at:last]
-        if len(own) <= PICK:
-            out.append([int(own[rank.argmin()])])
-            continue
-        view = np.lib.stride_tricks.sliding_window_view(rank, PICK)
-        picked = np.unique(view.argmin(1) + np.arange(len(view)))
-        out.append(np.unique(own[picked]).tolist())
+        out.append(list(set(seg[at : at + n - SEGMENT + 1])) if n > SEGMENT else [whole[k]] if n else [])
     return whole, out
 
 
@@ -92,9 +90,9 @@ _NUMBER = re.compile(r"\d+(?:[.,!:]\d+)*")
 
 
 def number_mask(text: str) -> int:
-    """32-bit set of the numbers in a text, whatever separates their digits; equal sets give equal masks."""
+    """32-bit set of the numbers in a bare text, whatever separates their digits; equal sets give equal masks."""
     mask = 0
-    for x in _NUMBER.findall(_AROUND.sub(" ", text)):
+    for x in _NUMBER.findall(text):
         mask |= 1 << (xxhash.xxh32_intdigest("".join(ch for ch in x if ch.isdigit())) & 31)
     return mask
 
@@ -115,8 +113,13 @@ def same_message(a: list[str], b: list[str], cut_a: bool = False, cut_b: bool =
     if not x or not y:
         return 0.0
     sx, sy = set(x), set(y)
-    if len(sx & sy) < 0.4 * min(len(sx), len(sy)):
+    if len(sx & sy) < 0.6 * min(len(sx), len(sy)):
         return 0.0
+    if not (cut_a or cut_b):
+        extra = sx ^ sy
+        p, q = [w for w in extra if w in sx and w[0].isdigit()], [w for w in extra if w in sy and w[0].isdigit()]
+        if p and q and sorted("".join(w for w in x if w[0].isdigit())) != sorted("".join(w for w in y if w[0].isdigit())):
+            return 0.0
     share = _in_order(a, b, x, y, cut_a, cut_b)
     if share < least:
         share = _moved(a, b, x, y)
