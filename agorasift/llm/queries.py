@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from agorasift.llm import personal_info, visible_text
+from agorasift.llm import personal_info, sentences, visible_text
 from agorasift.sources.tables import table
 
 
@@ -30,5 +30,9 @@ def p3_redacted(spark: SparkSession, d: str) -> DataFrame:
     return personal_info.redact(table(spark, d, "tweets"), _spans(spark, d))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_consistent_tags, p3_found, p3_redacted)}
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return sentences.sentences(table(spark, d, "documents"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_consistent_tags, p3_found, p3_redacted, p10_found)}
 ORACLES: dict[str, str] = {}
