@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from agorasift.llm import leaks, personal_info, sentences, visible_text
+from agorasift.llm import leaks, packing, personal_info, sentences, visible_text
 from agorasift.sources.tables import table
 
 
@@ -30,6 +30,14 @@ def p3_redacted(spark: SparkSession, d: str) -> DataFrame:
     return personal_info.redact(table(spark, d, "tweets"), _spans(spark, d))
 
 
+def p8_windows(spark: SparkSession, d: str) -> DataFrame:
+    return packing.pack(table(spark, d, "documents"), table(spark, d, "context_windows"))
+
+
+def p8_fill(spark: SparkSession, d: str) -> DataFrame:
+    return packing.fill_report(p8_windows(spark, d), table(spark, d, "context_windows"))
+
+
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return leaks.leaks(table(spark, d, "documents"), table(spark, d, "eval_items")).select("item_id", "doc_id")
 
@@ -42,7 +50,7 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return sentences.sentences(table(spark, d, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_consistent_tags, p3_found, p3_redacted, p9_found, p9_verbatim, p10_found)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_consistent_tags, p3_found, p3_redacted, p8_windows, p8_fill, p9_found, p9_verbatim, p10_found)}
 ORACLES: dict[str, str] = {
     "p9_verbatim": "SELECT DISTINCT item_id, doc_id FROM eval_items JOIN documents ON contains(text, passage)",
 }
