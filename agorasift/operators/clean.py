@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # What counts as a link, a mention, a tag, a run of emoji, repeated marks and a forward.
-URL = r"""https?://[^\s<>"{}|\\^`\[\]]+|www\.[^\s<>"{}|\\^`\[\]]+"""
+URL = r"""(?U)https?://[^\s<>"{}|\\^`\[\]]+|www\.[^\s<>"{}|\\^`\[\]]+"""
 MENTION = r"(?U)@\w+"
 HASHTAG = r"(?U)#(\w+)"
 EMOJI = (
@@ -139,7 +139,11 @@ def guess_language(c: Column, min_chars: int = 20) -> Column:
         enough = F.regexp_count(c, F.lit(chars)) * 5 > letters
         by_script = F.when(enough, lang) if by_script is None else by_script.when(enough, lang)
     words = F.split(F.lower(c), r"(?U)[^\w]+")
-    scores = [F.size(F.filter(words, lambda w, v=v: w.isin(*v.split()))).alias(lang) for lang, v in FUNCTION_WORDS.items()]
+
+    def hits(known: str) -> Column:
+        return F.size(F.filter(words, lambda w: w.isin(*known.split())))
+
+    scores = [hits(v) for v in FUNCTION_WORDS.values()]
     top = F.greatest(*scores)
     by_words = F.coalesce(*[F.when((s == top) & (top > 0), lang) for lang, s in zip(FUNCTION_WORDS, scores)])
     return F.when(F.length(c) >= min_chars, F.coalesce(by_script, by_words))

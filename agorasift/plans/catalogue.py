@@ -5,17 +5,20 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from agorasift.plans import training
+from agorasift.plans import records, texts, training
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(training.QUERIES)
+    return texts.QUERIES | records.QUERIES | training.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(training.ORACLES)
+    return texts.ORACLES | records.ORACLES | training.ORACLES
 
 
 def flagship(spark: SparkSession, folder: str) -> DataFrame:
-    return training.p6_found(spark, folder)
+    """The twenty tweets with the highest keyword score: scan, automaton, score expression, top-k."""
+    rows = texts.keyword_score(spark, folder)
+    return rows.orderBy(F.desc("total_score"), "tweet_id", "collected_at").limit(20)
