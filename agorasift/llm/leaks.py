@@ -29,6 +29,8 @@ from agorasift.session import cut
 #: Test passages at most: they are held in every task.
 MOST = 200_000
 ANCHORS = 4
+#: Part of the wanted share that sentences with agreeing anchors must make up; the rest may be cut sentences.
+HINT = 0.7
 #: Words that may stand between two matched sentences of a passage.
 GAP = 60
 _TOKEN = re.compile(r"[぀-ヿ㐀-鿿฀-๿]|[^\W_]+")
@@ -176,7 +178,7 @@ def leaks(documents: DataFrame, items: DataFrame, *, share: float = 0.5, doc_id:
         for pdf in batches:
             for t in pdf["t"]:
                 total.update(vocabulary.intersection(tokens(t)))
-        yield pd.DataFrame({"w": list(total), "n": list(total.values())})
+        yield pd.DataFrame(list(total.items()), columns=["w", "n"])
 
     df = {r["w"]: r["n"] for r in docs.select("t").mapInPandas(count, "w string, n long").groupBy("w").agg(F.sum("n").alias("n")).collect()}
 
@@ -188,8 +190,8 @@ def leaks(documents: DataFrame, items: DataFrame, *, share: float = 0.5, doc_id:
             for o in order:
                 if len(chosen) < ANCHORS and df.get(s[o], 0) and all(abs(o - c) > 0 for c in chosen):
                     chosen.append(o)
-            rows += [(s[o], k, i, o, min(2, len(chosen))) for o in chosen]
-    anchors = spark.createDataFrame(rows, "w string, k int, i int, o int, least int")
+            rows += [(s[o], k, i, o, min(2, len(chosen)), len(s), sum(len(x) for x, _ in p)) for o in chosen]
+    anchors = spark.createDataFrame(rows, "w string, k int, i int, o int, least int, size int, total int")
     wanted = {r[0] for r in rows}
 
     def post(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -200,8 +202,10 @@ def leaks(documents: DataFrame, items: DataFrame, *, share: float = 0.5, doc_id:
     kind = dict(docs.dtypes)["d"]
     index = cut(docs.mapInPandas(post, f"w string, d {kind}, p int"))
     hits = index.join(F.broadcast(anchors), "w")  # bounded: MOST passages, ANCHORS words a sentence
-    starts = hits.groupBy("k", "i", "d", (F.col("p") - F.col("o")).alias("start")).agg(F.count("*").alias("n"), F.first("least").alias("least"))
-    candidates = starts.where("n >= least").select("k", "d").distinct()
+    starts = hits.groupBy("k", "i", "d", "least", "size", "total", (F.col("p") - F.col("o")).alias("start")).agg(F.count("*").alias("n")).where("n >= least")
+    # sentences that nothing points at add no more than their share: half a passage needs HINT of it pointed at
+    sentences = starts.groupBy("k", "d", "i").agg(F.max("size").alias("size"), F.max("total").alias("total"))
+    candidates = sentences.groupBy("k", "d").agg(F.sum("size").alias("size"), F.max("total").alias("total")).where(F.col("size") >= F.col("total") * share * HINT)
     per_doc = candidates.groupBy("d").agg(F.collect_list("k").alias("ks"))  # at most all passages of the bounded set
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
