@@ -151,7 +151,7 @@ def alphabet_counts(texts: DataFrame, column: str) -> dict[str, int]:
         total: Counter = Counter()  # bounded by the alphabet
         for pdf in batches:
             total.update(_count_batch(pdf["t"].dropna()))
-        yield pd.DataFrame({"s": list(total), "n": list(total.values())})
+        yield pd.DataFrame(list(total.items()), columns=["s", "n"])
 
     rows = texts.select(F.col(column).alias("t")).mapInPandas(count, "s string, n long").groupBy("s").agg(F.sum("n").alias("n"))
     return {r["s"]: r["n"] for r in rows.collect()}  # one row per code point that occurs: bounded by Unicode
