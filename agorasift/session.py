@@ -5,7 +5,10 @@ from __future__ import annotations
 import atexit
 import os
 import shutil
+import sys
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,3 +54,24 @@ def cut(df: DataFrame) -> DataFrame:
     """Cut the lineage of ``df`` by a reliable checkpoint, which survives the loss of executors."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the package to the Python workers of this session, unless they surely find it by themselves.
+
+    A local session started beside the package, or with it on PYTHONPATH, needs nothing.
+    """
+    sc, package = spark.sparkContext, Path(__file__).parent
+    root = str(package.parent)
+    paths = [os.path.abspath(p) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if getattr(sc, "_agorasift_shipped", False) or (sc.master.startswith("local[") and (os.getcwd() == root or root in paths)):
+        return
+    folder = tempfile.mkdtemp(prefix="agorasift-package-")  # read by the driver, which serves it to the executors
+    atexit.register(shutil.rmtree, folder, True)
+    with zipfile.ZipFile(os.path.join(folder, "agorasift.zip"), "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, str(f.relative_to(package.parent)))
+    here = list(sys.path)
+    sc.addPyFile(os.path.join(folder, "agorasift.zip"))
+    sys.path[:] = here  # the driver keeps using the files themselves
+    sc._agorasift_shipped = True
