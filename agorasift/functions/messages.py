@@ -14,7 +14,8 @@ import xxhash
 from agorasift.functions.characters import LATIN_LIKE
 from agorasift.functions.names import typo
 
-_FOLD = {ord(x): base for base, others in LATIN_LIKE.items() for x in others} | {i: None for i in (0xAD, 0x180E, 0x200B, 0x200C, 0x200D, 0x2060, 0xFE0F, 0xFEFF)}
+#: Look-alike letters as Latin ones, zero-width characters as nothing.
+FOLD = {ord(x): base for base, others in LATIN_LIKE.items() for x in others} | {i: None for i in (0xAD, 0x180E, 0x200B, 0x200C, 0x200D, 0x2060, 0xFE0F, 0xFEFF)}
 _AROUND = re.compile(r"https?://\S+|www\.\S+|\(?\bvia @\w+\)?|^\W*rt @\w+\W*|[@#＃]\w+", re.I)
 WORD = re.compile(r"[぀-ヿ㐀-鿿가-힯]|[^\W_]+")
 #: Words in a segment; its similarity hash is one code block.
@@ -29,7 +30,7 @@ def bare(text: str) -> str:
     if "&" in text:
         text = html.unescape(text)
     if not text.isascii():
-        text = unicodedata.normalize("NFKC", text.translate(_FOLD)).translate(_FOLD)
+        text = unicodedata.normalize("NFKC", text.translate(FOLD)).translate(FOLD)
     return _AROUND.sub(" ", text)
 
 

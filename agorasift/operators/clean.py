@@ -138,12 +138,8 @@ def guess_language(c: Column, min_chars: int = 20) -> Column:
     for lang, chars in SCRIPTS.items():
         enough = F.regexp_count(c, F.lit(chars)) * 5 > letters
         by_script = F.when(enough, lang) if by_script is None else by_script.when(enough, lang)
-    words = F.split(F.lower(c), r"(?U)[^\w]+")
-
-    def hits(known: str) -> Column:
-        return F.size(F.filter(words, lambda w: w.isin(*known.split())))
-
-    scores = [hits(v) for v in FUNCTION_WORDS.values()]
+    low = F.lower(c)
+    scores = [F.regexp_count(low, F.lit(rf"(?U)\b(?:{'|'.join(v.split())})\b")) for v in FUNCTION_WORDS.values()]
     top = F.greatest(*scores)
     by_words = F.coalesce(*[F.when((s == top) & (top > 0), lang) for lang, s in zip(FUNCTION_WORDS, scores)])
     return F.when(F.length(c) >= min_chars, F.coalesce(by_script, by_words))

@@ -8,14 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from agorasift.operators import classify, clean, entities, keywords, privacy, tokens
-from agorasift.sources.tables import table
+from agorasift.sources.tables import spread, table
 
 SALT = "pepper"
 KEY = ["tweet_id", "collected_at"]
 
 
 def tweets(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "tweets").select(*KEY, "text_raw", "author_id_hash", "lang", "created_at", "hashtags", "mentions")
+    return spread(table(spark, d, "tweets").select(*KEY, "text_raw", "author_id_hash", "lang", "created_at", "hashtags", "mentions"))
 
 
 def dictionary(spark: SparkSession, d: str) -> DataFrame:
