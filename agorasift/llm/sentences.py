@@ -38,6 +38,8 @@ AFTER_TIME = frozenset("monday tuesday wednesday thursday friday saturday sunday
 DE_MONTHS = frozenset("januar jänner februar märz april mai juni juli august september oktober november dezember".split())
 LEGAL = frozenset("inc ltd co corp llc plc bros".split())
 REPORTING = frozenset("asked said says cried wrote replied shouted called added told answered whispered warned snapped insisted demanded muttered admitted declared exclaimed".split())
+# Verbs that follow the speaker's name after a cry.
+CRIED = frozenset("said says cried shouted replied whispered snapped exclaimed warned muttered yelled".split())
 #: Words with which, in texts without capitals, a sentence goes on after an abbreviation.
 GOES_ON = frozenset("was is were are has had have and or of in for to said will filed on at by with sharp as but from the-same who which that".split())
 _NO_ENDS = re.compile("[฀-໿ក-៿ᨠ-᪯]")
@@ -103,10 +105,11 @@ def _speech_ends(text: str, start: int, a: int, b: int, stop: int, low: bool) ->
             return bool(announced) and not (not lead)
         return True
     m = re.findall(r"[^\W_]+", text[after : after + 60])[:4]
-    reports = any(w.casefold() in REPORTING for w in (m if not lead else m[:1]))
     if nxt.islower():
-        return low and (bool(announced) or (not lead and not reports))
-    return not (reports and not lead)
+        return low and (bool(announced) or (not lead and m[:1] and m[0] not in REPORTING))
+    # a cry at the start, then a name and a verb of speech; other verbs may well begin a sentence of their own
+    cry = text[a + 1 : b - 1].rstrip()[-1:] in "!?！？"
+    return not (not lead and cry and any(w in CRIED for w in m[1:]))
 
 
 def _running(text: str, start: int, stop: int, low: bool, out: list[tuple[int, int]]) -> None:
