@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -200,8 +200,7 @@ def deletion_applied(s: SparkSession, d: str) -> DataFrame:
 
 def stream_dedup(s: SparkSession, d: str) -> DataFrame:
     """Tweets as a stream: each id once within the watermark, appended to Parquet."""
-    base = checkpoint_dir(s)
-    out = tempfile.mkdtemp(prefix="stream-") if "://" not in base and not base.startswith("file:") else f"{base}/stream-{id(s)}-{abs(hash(d)) % 10**8}"
+    out = f"{checkpoint_dir(s)}/stream-{uuid.uuid4().hex}"
     source = s.readStream.schema(table(s, d, "tweets").schema).parquet(f"{d}/tweets*.parquet")
     rows = streaming.deduplicated(source, "tweet_id", "collected_at", "3650 days").select("tweet_id", "text_raw")
     streaming.append_to(rows, f"{out}/rows", f"{out}/checkpoint").awaitTermination()
