@@ -41,7 +41,6 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> tuple[DataFrame,
             picks.join(back, "v", "left")
             .select("u", F.when((F.col("_u2") == F.col("u")) & (F.col("u") < F.col("v")), F.col("u")).otherwise(F.col("v")).alias("p"))
         )
-        hook = cut(hook)
         while True:  # pointer jumping: the depth halves each time
             up = hook.select(F.col("u").alias("p"), F.col("p").alias("_pp"))
             jumped = cut(hook.join(up, "p").select("u", F.col("_pp").alias("p"), (F.col("_pp") != F.col("p")).alias("_moved")))
