@@ -170,7 +170,7 @@ def leaks(documents: DataFrame, items: DataFrame, *, share: float = 0.5, doc_id:
     texts = sorted({r["passage"] for r in listed})
     number = {t: k for k, t in enumerate(texts)}
     passages = [passage_sentences(t) for t in texts]
-    docs = documents.where(F.col(doc_id).isNotNull() & F.col(text).isNotNull()).select(F.col(doc_id).alias("d"), F.col(text).alias("t")).distinct()
+    docs = documents.where(F.col(doc_id).isNotNull() & F.col(text).isNotNull()).select(F.col(doc_id).alias("d"), F.col(text).alias("t"))
     vocabulary = {w for p in passages for s, _ in p for w in s}
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -190,8 +190,8 @@ def leaks(documents: DataFrame, items: DataFrame, *, share: float = 0.5, doc_id:
             for o in order:
                 if len(chosen) < ANCHORS and df.get(s[o], 0) and all(abs(o - c) > 0 for c in chosen):
                     chosen.append(o)
-            rows += [(s[o], k, i, o, min(2, len(chosen)), len(s), sum(len(x) for x, _ in p)) for o in chosen]
-    anchors = spark.createDataFrame(rows, "w string, k int, i int, o int, least int, size int, total int")
+            rows += [(s[o], k, i, o, 1 << a, min(2, len(chosen)), len(s), sum(len(x) for x, _ in p)) for a, o in enumerate(chosen)]
+    anchors = spark.createDataFrame(rows, "w string, k int, i int, o int, bit int, least int, size int, total int")
     wanted = {r[0] for r in rows}
 
     def post(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -202,7 +202,8 @@ def leaks(documents: DataFrame, items: DataFrame, *, share: float = 0.5, doc_id:
     kind = dict(docs.dtypes)["d"]
     index = cut(docs.mapInPandas(post, f"w string, d {kind}, p int"))
     hits = index.join(F.broadcast(anchors), "w")  # bounded: MOST passages, ANCHORS words a sentence
-    starts = hits.groupBy("k", "i", "d", "least", "size", "total", (F.col("p") - F.col("o")).alias("start")).agg(F.count("*").alias("n")).where("n >= least")
+    starts = hits.groupBy("k", "i", "d", "least", "size", "total", (F.col("p") - F.col("o")).alias("start")).agg(F.bit_or("bit").alias("bits"))
+    starts = starts.where(F.bit_count("bits") >= F.col("least"))  # different anchors, however often a row is repeated
     # sentences that nothing points at add no more than their share: half a passage needs HINT of it pointed at
     sentences = starts.groupBy("k", "d", "i").agg(F.max("size").alias("size"), F.max("total").alias("total"))
     candidates = sentences.groupBy("k", "d").agg(F.sum("size").alias("size"), F.max("total").alias("total")).where(F.col("size") >= F.col("total") * share * HINT)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from agorasift.llm import leaks, packing, personal_info, sentences, visible_text
-from agorasift.sources.tables import table
+from agorasift.sources.tables import spread, table
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
@@ -39,15 +39,15 @@ def p8_fill(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
-    return leaks.leaks(table(spark, d, "documents"), table(spark, d, "eval_items")).select("item_id", "doc_id")
+    return leaks.leaks(spread(table(spark, d, "documents").select("doc_id", "text")), table(spark, d, "eval_items")).select("item_id", "doc_id")
 
 
 def p9_verbatim(spark: SparkSession, d: str) -> DataFrame:
-    return leaks.verbatim(table(spark, d, "documents"), table(spark, d, "eval_items"))
+    return leaks.verbatim(spread(table(spark, d, "documents").select("doc_id", "text")), table(spark, d, "eval_items"))
 
 
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
-    return sentences.sentences(table(spark, d, "documents"))
+    return sentences.sentences(spread(table(spark, d, "documents").select("doc_id", "text")))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_consistent_tags, p3_found, p3_redacted, p8_windows, p8_fill, p9_found, p9_verbatim, p10_found)}
