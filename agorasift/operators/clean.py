@@ -133,16 +133,23 @@ def guess_language(c: Column, min_chars: int = 20) -> Column:
 
     Deterministic; ties go to the language listed first. Other detectors fit in as any Column.
     """
-    letters = F.greatest(F.regexp_count(c, F.lit(r"\p{L}")), F.lit(1))
-    by_script = None
-    for lang, chars in SCRIPTS.items():
-        enough = F.regexp_count(c, F.lit(chars)) * 5 > letters
-        by_script = F.when(enough, lang) if by_script is None else by_script.when(enough, lang)
-    low = F.lower(c)
-    scores = [F.regexp_count(low, F.lit(rf"(?U)\b(?:{'|'.join(v.split())})\b")) for v in FUNCTION_WORDS.values()]
-    top = F.greatest(*scores)
-    by_words = F.coalesce(*[F.when((s == top) & (top > 0), lang) for lang, s in zip(FUNCTION_WORDS, scores)])
-    return F.when(F.length(c) >= min_chars, F.coalesce(by_script, by_words))
+    def guess(t: Column) -> Column:
+        letters = F.greatest(F.regexp_count(t, F.lit(r"\p{L}")), F.lit(1))
+        by_script = None
+        for lang, chars in SCRIPTS.items():
+            enough = F.regexp_count(t, F.lit(chars)) * 5 > letters
+            by_script = F.when(enough, lang) if by_script is None else by_script.when(enough, lang)
+        low = F.lower(t)
+        scores = F.array(*[F.regexp_count(low, F.lit(rf"(?U)\b(?:{'|'.join(v.split())})\b")) for v in FUNCTION_WORDS.values()])
+        best = _bound(scores, lambda x: F.when(F.array_max(x) > 0, F.element_at(F.array(*map(F.lit, FUNCTION_WORDS)), F.array_position(x, F.array_max(x)).cast("int"))))
+        return F.when(F.length(t) >= min_chars, F.coalesce(by_script, best))
+
+    return _bound(c, guess)
+
+
+def _bound(c: Column, body) -> Column:  # noqa: ANN001
+    """``body(c)`` with ``c`` evaluated once, however often the body names it."""
+    return F.element_at(F.transform(F.array(c), body), 1)
 
 
 def clean(df: DataFrame, text: str = "text", cfg: CleanConfig = DEFAULT) -> DataFrame:
