@@ -1,14 +1,13 @@
-"""Evaluation passages inside training text (problem 9), by a positional inverted index.
-
-1. Document frequencies of all words of the test passages, over all documents.
-2. Per passage sentence its rarest words become anchors, each with its offset.
-3. The index: postings (word, document, position) of the anchor words, over whole texts, stored.
-4. Offset-adjusted lists of one sentence's anchors are intersected: at least two anchors (one, if the sentence
-   has but one) must name the same start. This leaves candidate (passage, document) pairs.
-5. Each candidate is compared: sentences are located in the document, small slips allowed, facts
+"""Evaluation passages inside training text (problem 9), by a positional index of the passages' word pairs.
+
+1. The index: word pair -> (passage sentence, offset), over all pairs of all passages, held in every task.
+2. A document's pairs are looked up; hits with one start are a diagonal. A sentence can be located only
+   on diagonals with enough hits, and there only as many of its words as stand near, slips included.
+   The sum over a passage's sentences bounds its cover from above: no pair at or over the share is lost.
+3. Pairs the bound leaves are compared: sentences are located in the document, small slips allowed, facts
    (numbers, names) not; sentences in order and close by add up. Exact phrases count as well.
 
-The test set is a stated query set of bounded size (``MOST``); all documents are searched.
+The test set is a stated query set of bounded size (``MOST``); all documents are searched, in one pass.
 """
 
 from __future__ import annotations
@@ -17,20 +16,20 @@ import re
 import unicodedata
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from agorasift.functions.names import typo
 from agorasift.llm.sentences import sentence_spans
-from agorasift.session import cut
 
 #: Test passages at most: they are held in every task.
 MOST = 200_000
-ANCHORS = 4
-#: Part of the wanted share that sentences with agreeing anchors must make up; the rest may be cut sentences.
-HINT = 0.7
+#: Letters of the longest word whose misspellings are looked up by left-out letters; longer ones are compared one by one.
+LONG = 20
 #: Words that may stand between two matched sentences of a passage.
 GAP = 60
 _TOKEN = re.compile(r"[぀-ヿ㐀-鿿฀-๿]|[^\W_]+")
@@ -132,10 +131,21 @@ def _extend(sent: list[str], raw: list[str], words: list[str], k: int, p: int, s
     return matched, last, False
 
 
-def covered(passage: list[tuple[list[str], list[str]]], words: list[str], at: dict[tuple, list[int]]) -> float:
-    """Share of the passage's words that the document holds in order, as one stretch or briefly interrupted."""
+def covered(passage: list[tuple[list[str], list[str]]], words: list[str], at: dict[tuple, list[int]], share: float = 0.0, most: list[int] | None = None) -> float:
+    """Share of the passage's words that the document holds in order, as one stretch or briefly interrupted.
+
+    ``most``: upper bounds of the words of each sentence; 0 may be returned once they cannot reach ``share``.
+    """
     total = sum(len(s) for s, _ in passage)
-    places = [locate(s, r, words, at) for s, r in passage]
+    most = [len(s) for s, _ in passage] if most is None else most
+    places: list[list[tuple[int, int, int]]] = [[] for _ in passage]
+    hope = sum(most)
+    for i in sorted(range(len(passage)), key=lambda i: -most[i]):
+        if hope < share * total - 1e-9:
+            return 0.0
+        if most[i]:
+            places[i] = locate(*passage[i], words, at)
+            hope -= most[i] - max((m for _, _, m in places[i]), default=0)
     best_all, rows = 0, []
     for i, options in enumerate(places):
         for a, b, m in options:
@@ -157,6 +167,103 @@ def pair_positions(words: list[str], wanted: set | None = None) -> dict[tuple, l
     return at
 
 
+def _left_out(w: str) -> set[str]:
+    """A word, and what is left of it without as many letters as ``typo`` allows slips."""
+    out = last = {w}
+    for _ in range(1 if len(w) < 9 else 2):
+        last = {x[:i] + x[i + 1 :] for x in last for i in range(len(x))}
+        out = out | last
+    return out
+
+
+class Search:
+    """Upper bounds of ``covered`` for all passages in a document at once."""
+
+    def __init__(self, passages: list[list[tuple[list[str], list[str]]]], share: float) -> None:
+        self.share = share
+        number: dict[str, int] = {}
+        pairs: dict[tuple, list[int]] = defaultdict(list)
+        own, size, flat, at = [], [], [], [0]
+        for k, p in enumerate(passages):
+            for s, _ in p:
+                for o in range(len(s) - 1):
+                    pairs[s[o], s[o + 1]].append((len(own) << 32) - o)
+                own.append(k)
+                size.append(len(s))
+                flat += [number.setdefault(w, len(number)) for w in s]
+                at.append(len(flat))
+        self.pairs = {x: np.array(v, np.int64) for x, v in pairs.items()}
+        self.own, self.size, self.flat, self.at = (np.array(x, np.int64) for x in (own, size, flat, at))
+        self.words = len(number)
+        self.total = np.bincount(self.own, weights=self.size, minlength=len(passages))
+        self.begin = np.searchsorted(self.own, np.arange(len(passages)))
+        slips: dict[str, list[str]] = defaultdict(list)
+        loose = [v for v in number if len(v) > 3 and not v[0].isdigit()]
+        for v in loose:
+            for x in _left_out(v) if len(v) <= LONG else ():
+                slips[x].append(v)
+        long = [v for v in loose if len(v) > LONG - 4]
+
+        @lru_cache(maxsize=200_000)
+        def alike(w: str) -> list[int]:
+            """Passage words that a document's word can stand for."""
+            near = long if len(w) > LONG - 2 else {v for x in _left_out(w) for v in slips.get(x, ())}
+            return [number[v] for v in {v for v in near if _same(v, w)} | ({w} & number.keys())]
+
+        self.alike = alike
+
+    def _words(self, sent: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(words of the sentences one after another, row of ``sent`` of each, where each sentence begins)."""
+        n = self.size[sent]
+        row, first = np.repeat(np.arange(len(sent)), n), np.cumsum(n) - n
+        return self.flat[np.arange(len(row)) - first[row] + self.at[sent][row]], row, first
+
+    def _fit(self, sent: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(passages of the sentences, in order; may so many words of each sentence reach the share?)."""
+        k, first = np.unique(self.own[sent], return_index=True)
+        good = np.add.reduceat(words, first) >= self.share * self.total[k] - 1e-9
+        return k, good
+
+    def __call__(self, words: list[str]) -> dict[int, list[int]]:
+        """passage: the most words of each of its sentences that can be located, where they may reach the share."""
+        hits = [self.pairs[x] + p for p, x in enumerate(zip(words, words[1:])) if x in self.pairs]
+        if not hits:
+            return {}
+        x, c = np.unique(np.concatenate(hits), return_counts=True)
+        i = (x + (1 << 31)) >> 32
+        ok = c >= np.where(self.size[i] > 4, 2, 1)  # as in locate
+        x, i = x[ok], i[ok]
+        if not len(i):
+            return {}
+        sent = np.unique(i)
+        k, good = self._fit(sent, self.size[sent])
+        sent = sent[np.isin(self.own[sent], k[good])]
+        if not len(sent):
+            return {}
+        stands = np.array([(v << 32) + p for p, w in enumerate(words) for v in self.alike(w)], np.int64)
+        stands.sort()
+        # words that stand anywhere in the document
+        known = np.zeros(self.words, bool)
+        known[stands >> 32] = True
+        word, _, first = self._words(sent)
+        k, good = self._fit(sent, np.add.reduceat(known[word].astype(np.int64), first))
+        ok = np.isin(i, sent) & np.isin(self.own[i], k[good])
+        x, i = x[ok], i[ok]
+        if not len(i):
+            return {}
+        # words near a diagonal: a slip moves by two words at most and is followed by two equal ones, but at the ends
+        n, d = self.size[i], x - (i << 32)
+        word, row, first = self._words(i)
+        low, high = (word << 32) + np.maximum(d - n - 3, 0)[row], (word << 32) + (d + 2 * n + 3)[row]
+        m = np.add.reduceat((np.searchsorted(stands, low) < np.searchsorted(stands, high, side="right")).astype(np.int64), first)
+        m[(m < np.maximum(3, 0.3 * n)) & (m < n)] = 0
+        sent, first = np.unique(i, return_index=True)
+        m = np.maximum.reduceat(m, first)
+        k, good = self._fit(sent, m)
+        most = dict(zip(sent.tolist(), m.tolist()))
+        return {p: [most.get(b + j, 0) for j in range(e - b)] for p, b, e in ((p, int(self.begin[p]), int(np.searchsorted(self.own, p, side="right"))) for p in k[good].tolist())}
+
+
 def leaks(documents: DataFrame, items: DataFrame, *, share: float = 0.5, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``item_id, doc_id, share``: documents that hold at least ``share`` of an item's passage.
 
@@ -171,60 +278,28 @@ def leaks(documents: DataFrame, items: DataFrame, *, share: float = 0.5, doc_id:
     number = {t: k for k, t in enumerate(texts)}
     passages = [passage_sentences(t) for t in texts]
     docs = documents.where(F.col(doc_id).isNotNull() & F.col(text).isNotNull()).select(F.col(doc_id).alias("d"), F.col(text).alias("t"))
-    vocabulary = {w for p in passages for s, _ in p for w in s}
-
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total: Counter = Counter()  # bounded by the test vocabulary
-        for pdf in batches:
-            for t in pdf["t"]:
-                total.update(vocabulary.intersection(tokens(t)))
-        yield pd.DataFrame(list(total.items()), columns=["w", "n"])
-
-    df = {r["w"]: r["n"] for r in docs.select("t").mapInPandas(count, "w string, n long").groupBy("w").agg(F.sum("n").alias("n")).collect()}
-
-    rows = []
+    single: dict[str, list[int]] = defaultdict(list)
     for k, p in enumerate(passages):
-        for i, (s, _) in enumerate(p):
-            order = sorted(range(len(s)), key=lambda o: (df.get(s[o], 0) == 0, df.get(s[o], 0), o))  # words of no document cannot serve
-            chosen: list[int] = []
-            for o in order:
-                if len(chosen) < ANCHORS and df.get(s[o], 0) and all(abs(o - c) > 0 for c in chosen):
-                    chosen.append(o)
-            rows += [(s[o], k, i, o, 1 << a, min(2, len(chosen)), len(s), sum(len(x) for x, _ in p)) for a, o in enumerate(chosen)]
-    anchors = spark.createDataFrame(rows, "w string, k int, i int, o int, bit int, least int, size int, total int")
-    wanted = {r[0] for r in rows}
-
-    def post(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = [(w, d, p) for d, t in zip(pdf["d"], pdf["t"]) for p, w in enumerate(tokens(t)) if w in wanted]
-            yield pd.DataFrame(out, columns=["w", "d", "p"])
-
-    kind = dict(docs.dtypes)["d"]
-    index = cut(docs.mapInPandas(post, f"w string, d {kind}, p int"))
-    hits = index.join(F.broadcast(anchors), "w")  # bounded: MOST passages, ANCHORS words a sentence
-    starts = hits.groupBy("k", "i", "d", "least", "size", "total", (F.col("p") - F.col("o")).alias("start")).agg(F.bit_or("bit").alias("bits"))
-    starts = starts.where(F.bit_count("bits") >= F.col("least"))  # different anchors, however often a row is repeated
-    # sentences that nothing points at add no more than their share: half a passage needs HINT of it pointed at
-    sentences = starts.groupBy("k", "d", "i").agg(F.max("size").alias("size"), F.max("total").alias("total"))
-    candidates = sentences.groupBy("k", "d").agg(F.sum("size").alias("size"), F.max("total").alias("total")).where(F.col("size") >= F.col("total") * share * HINT)
-    per_doc = candidates.groupBy("d").agg(F.collect_list("k").alias("ks"))  # at most all passages of the bounded set
+        if len(p) == 1 and len(p[0][0]) == 1:
+            single[p[0][0][0]].append(k)
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pairs = [{(s[x], s[x + 1]) for s, _ in p for x in range(len(s) - 1)} for p in passages]
+        search = Search(passages, share)
         for pdf in batches:
             out = []
-            for d, t, ks in zip(pdf["d"], pdf["t"], pdf["ks"]):
+            for d, t in zip(pdf["d"], pdf["t"]):
                 words = tokens(t)
-                every = pair_positions(words, set().union(*[pairs[k] for k in ks]))
-                for k in ks:
-                    c = covered(passages[k], words, every)
-                    if c < share and len(passages[k]) == 1 and len(passages[k][0][0]) == 1:
-                        c = float(passages[k][0][0][0] in words)
+                out += [(k, d, 1.0) for w in single.keys() & set(words) for k in single[w]]
+                likely = search(words)
+                every = pair_positions(words) if likely else {}
+                for k, most in likely.items():
+                    c = covered(passages[k], words, every, share, most)
                     if c >= share:
-                        out.append((int(k), d, c))
+                        out.append((k, d, c))
             yield pd.DataFrame(out, columns=["k", "d", "c"])
 
-    good = per_doc.join(docs, "d").select("d", "t", "ks").mapInPandas(verify, f"k int, d {kind}, c double")
+    kind = dict(docs.dtypes)["d"]
+    good = docs.mapInPandas(verify, f"k int, d {kind}, c double")
     names = spark.createDataFrame([(r["item_id"], number[r["passage"]]) for r in listed], f"item_id {dict(items.dtypes)['item_id']}, k int")
     return good.join(F.broadcast(names), "k").groupBy("item_id", F.col("d").alias(doc_id)).agg(F.max("c").alias("share"))
 

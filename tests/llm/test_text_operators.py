@@ -1,6 +1,7 @@
 """The text operators on small fixtures with awkward rows."""
 
 import datetime as dt
+import random
 
 import numpy as np
 import pytest
@@ -161,6 +162,30 @@ def test_leaks(spark):
     assert leaks.leaks(d.limit(0), i).count() == 0 and leaks.leaks(d, i.limit(0)).count() == 0
 
 
+def test_leaks_like_brute_force(spark):
+    """Stretches of half a passage, cut in the middle of sentences, and slips in them."""
+    rnd = random.Random(3)
+    common, rare = [f"com{chr(97 + i)}" for i in range(20)], [f"{a}{b}rare{c}" for a in "bdfg" for b in "aeiou" for c in "klmnprst"]
+    sentence = lambda: [*rnd.sample(common, 9), *rnd.sample(rare, 5)]  # noqa: E731  the rare words stand at the end
+    items = [(k, " ".join(" ".join(["The", *sentence()]) + "." for _ in range(4))) for k in range(30)]
+    docs = []
+    for k, p in items:
+        words = p.split()
+        for part in (0.5, 0.55, 0.8):
+            n = -int(-part * len(words) // 1)
+            at = rnd.randrange(len(words) - n + 1)
+            cut = [w if rnd.random() < 0.93 else w[:2] + w[3:] for w in words[at : at + n]]
+            docs.append((len(docs), " ".join(["Before this", *rnd.sample(common, 5), *cut, *rnd.sample(common, 5)])))
+        # of every sentence the words before its rare ones
+        docs.append((len(docs), " ".join(" ".join(words[15 * i : 15 * i + 9]) + "." for i in range(4))))
+    want = set()
+    for d, t in docs:
+        w = leaks.tokens(t)
+        want |= {(k, d) for k, p in items if leaks.covered(leaks.passage_sentences(p), w, leaks.pair_positions(w)) >= 0.5}
+    got = leaks.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, passage string"))
+    assert {(r["item_id"], r["doc_id"]) for r in got.collect()} == want and len(want) >= 60
+
+
 # ---------------------------------------------------------------- sentences
 
 
