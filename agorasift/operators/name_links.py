@@ -1,9 +1,8 @@
 """Linking the spellings of one person's or organisation's name (problem 7).
 
 1. Names are parsed to a form (words, initials, suffix); equal forms of one place are one class.
-2. Key words are the rare words of a form: those in at most ``COMMON`` of all classes, or all words
-   if none is rare. Only words are compared with words: a prefix-filtered set-similarity join on
-   their 2-grams, inside one place, finds equal and misspelt words.
+2. Every word of a form, common or not, is a key word inside its place. Only words are compared with
+   words: a prefix-filtered set-similarity join on their 2-grams, inside one place, finds equal and misspelt words.
 3. Classes with a similar key word are compared by soft weighted word similarity, rare words counting more.
 4. Sure links are contracted to components. A class that may belong to several (an initial only, an
    ambiguous short form, no place) joins the only component it fits, and none if it fits several.
@@ -23,10 +22,6 @@ from agorasift.functions.groups import pairs_of_forms
 from agorasift.operators.components import components
 from agorasift.session import cut
 
-#: A word in more than this share of all classes is no key word.
-COMMON = 0.002
-#: A word of at most this many classes is a key word in any case.
-FEW = 50
 #: Similarity of the 2-gram sets of a word and its misspelling.
 GRAMS = 0.4
 SURE = 0.6
@@ -62,15 +57,11 @@ def classes_of(contributions: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def key_words(cls: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(``cls, w``: the key words of each class; ``w, weight``: log of rarity of every word)."""
-    words = cls.select("cls", "org", F.explode(F.array_distinct("words")).alias("w"))
+    words = cls.select("cls", F.explode(F.array_distinct("words")).alias("w"))
     total = cls.agg(F.count("*").alias("total"))
     df = words.groupBy("w").agg(F.count("*").alias("df"))
-    df = df.join(F.broadcast(total)).select("w", F.log(1 + F.col("total") / F.col("df")).alias("weight"), ((F.col("df") > FEW) & (F.col("df") > F.col("total") * COMMON)).alias("common"))
-    df = cut(df)
-    marked = words.join(df, "w")
-    rare = marked.groupBy("cls").agg(F.min(F.col("common").cast("int")).alias("none_rare"))
-    key = marked.join(rare, "cls").where((F.col("none_rare") == 1) | ~F.col("common")).where(F.length("w") >= 2).select("cls", "w")
-    return key, df
+    df = cut(df.join(F.broadcast(total)).select("w", F.log(1 + F.col("total") / F.col("df")).alias("weight")))
+    return words.where(F.length("w") >= 2), df
 
 
 def _grams(w: Column) -> Column:
@@ -108,13 +99,14 @@ _OUT = T.StructType().add("a", "string").add("b", "string").add("weak", "boolean
 def _verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         keep = []
-        for a, b, wa, wb, fa, fb, w1, w2 in zip(pdf["a"], pdf["b"], pdf["wa"], pdf["wb"], pdf["fa"], pdf["fb"], pdf["ga"], pdf["gb"]):
+        for a, b, keys, fa, fb, w1, w2 in zip(pdf["a"], pdf["b"], pdf["x"], pdf["fa"], pdf["fb"], pdf["ga"], pdf["gb"]):
             pa = (list(fa["words"]), list(fa["initials"]), fa["suffix"], fa["org"])
             pb = (list(fb["words"]), list(fb["initials"]), fb["suffix"], fb["org"])
             weight = dict(zip(pa[0], w1)) | dict(zip(pb[0], w2))
-            score, weak = N.compare(pa, pb, wa, wb, weight)
-            if score >= SURE:
-                keep.append((a, b, weak))
+            scores = [N.compare(pa, pb, x["wa"], x["wb"], weight) for x in keys]
+            weak = [w for score, w in scores if score >= SURE]
+            if weak:  # a given name as key hides that it is an ambiguous short form
+                keep.append((a, b, any(weak)))
         yield pd.DataFrame(keep, columns=["a", "b", "weak"])
 
 
@@ -137,12 +129,14 @@ def linked_classes(cls: DataFrame) -> DataFrame:
         alike.join(left.select("k", F.col("w").alias("wa"), F.col("cls").alias("a"), "loose"), ["k", "wa"])
         .join(right.select("k", F.col("w").alias("wb"), F.col("cls").alias("b")), ["k", "wb"])
         .where("a <> b").where(F.col("loose") | (F.col("a") < F.col("b")))
-        .groupBy("a", "b").agg(F.min(F.struct("wa", "wb")).alias("x"), F.max("loose").alias("loose"))
+        .groupBy("a", "b").agg(F.collect_set(F.struct("wa", "wb")).alias("x"), F.max("loose").alias("loose"))
     )
     pairs = (
         pairs.join(full_form.select(F.col("cls").alias("a"), F.col("f").alias("fa"), F.col("g").alias("ga")), "a")
         .join(full_form.select(F.col("cls").alias("b"), F.col("f").alias("fb"), F.col("g").alias("gb")), "b")
-        .select("a", "b", "x.wa", "x.wb", "fa", "fb", "ga", "gb")
+        # what compare() asks of any pair first
+        .where("fa.org = fb.org and fa.suffix = fb.suffix and (not fa.org or size(fa.words) = size(fb.words))")
+        .select("a", "b", "x", "fa", "fb", "ga", "gb")
     )
     links = cut(pairs.mapInPandas(_verify, _OUT))
     several = sorted(w for w, formal in N.FORMALS.items() if len(formal) > 1 and w not in N.SHORT_FORMS)

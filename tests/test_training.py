@@ -228,6 +228,16 @@ def test_name_links(spark):
     assert name_links.found(df.limit(0)).count() == 0
 
 
+def test_common_surnames_are_linked(spark):
+    rows = [
+        ("1", "Smith, Ted", "Wexhaven", "FL"), ("2", "Smith, Theodore", "Wexhaven", "FL"), ("3", "Smith, Zebulon", "Calmoor", "MS"), ("4", "Smith, Z.", "Calmoor", "MS"), ("5", "Smith, Xaver", "Calmoor", "MS"),
+        *[(f"s{i}", f"Smith, Theodore {chr(97 + i % 26)}{chr(97 + i // 26)}kolb", f"Town {i}", "DE") for i in range(80)],
+    ]
+    df = spark.createDataFrame([(*r, 1.0) for r in rows], "contribution_id string, contributor_name string, contributor_city string, contributor_state string, cls double")
+    got = {(r["contribution_id_a"], r["contribution_id_b"]) for r in name_links.found(df).collect()}
+    assert got == {("1", "2"), ("3", "4")}
+
+
 def test_similar_words_like_brute_force(spark):
     rnd = random.Random(2)
     base = ["macksoland", "holbrishire", "gantdastrom", "seed", "kolb", "penntofell"]
