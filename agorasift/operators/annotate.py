@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from agorasift.operators.consensus import canonical
+from agorasift.functions.labels import canonical
 
 # Numeric value of each label; UNKNOWN has none.
 LEANING = {"FAR_LEFT": -2.0, "LEFT": -1.0, "CENTER_LEFT": -0.5, "CENTER": 0.0, "CENTER_RIGHT": 0.5, "RIGHT": 1.0, "FAR_RIGHT": 2.0}

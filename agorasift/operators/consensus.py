@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from agorasift.functions.labels import canonical
 from agorasift.session import cut
 
 # The label names of the two fields in their order.
@@ -23,11 +24,6 @@ FIELDS = {"political_leaning": LEANINGS, "sentiment": SENTIMENTS}
 WIDTH = max(map(len, FIELDS.values()))
 
 
-def canonical(label: Column) -> Column:
-    """Upper case, no padding, words joined by one underscore."""
-    return F.upper(F.regexp_replace(F.regexp_replace(label, r"(?U)^[\s_\-]+|[\s_\-]+$", ""), r"(?U)[\s_\-]+", "_"))
-
-
 def current_annotations(annotations: DataFrame) -> DataFrame:
     """One row per (item, annotator): the latest created_at counts, ties by the larger seq."""
     rows = annotations.where("item_id is not null and annotator_id is not null")
