@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from agorasift.functions.names import typo
+from agorasift.llm.names import typo
 from agorasift.llm.sentences import sentence_spans
 
 #: Test passages at most: they are held in every task.

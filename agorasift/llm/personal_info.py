@@ -22,8 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from agorasift.functions.messages import FOLD
-from agorasift.functions.names import SHORT_FORMS
+from agorasift.llm.messages import FOLD
+from agorasift.llm.names import SHORT_FORMS
 from agorasift.session import cut
 
 TYPES = ("EMAIL", "PHONE", "ID_NUMBER", "ADDRESS", "NAME")

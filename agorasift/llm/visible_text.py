@@ -22,8 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from agorasift.functions.characters import LATIN_LIKE, MARK_LIKE, invisible, rule_equal
-from agorasift.functions.groups import pairs_of_forms
+from agorasift.llm.characters import LATIN_LIKE, MARK_LIKE, invisible, rule_equal
+from agorasift.llm.groups import pairs_of_forms
 from agorasift.session import cut
 
 JOINERS = "‌‍"
