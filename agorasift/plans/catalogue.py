@@ -7,15 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agorasift.plans import records, texts, training
+from agorasift.plans import records, texts
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return texts.QUERIES | records.QUERIES | training.QUERIES
+    return texts.QUERIES | records.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return texts.ORACLES | records.ORACLES | training.ORACLES
+    return texts.ORACLES | records.ORACLES
 
 
 def flagship(spark: SparkSession, folder: str) -> DataFrame:
