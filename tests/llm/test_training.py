@@ -125,6 +125,7 @@ def test_split_together(spark):
 ANN = "item_id string, annotator_id string, political_leaning string, sentiment string, created_at timestamp, seq long, extra string"
 
 
+@pytest.mark.filterwarnings("ignore:expectation")
 def test_consensus_beats_the_majority(spark):
     rnd = random.Random(5)
     rows, truth, k = [], {}, 0
@@ -148,6 +149,10 @@ def test_consensus_beats_the_majority(spark):
     assert np.mean([got[i] == t for i, t in truth.items()]) > 0.9
     skill = {r["annotator_id"]: r["skill"] for r in per.collect()}
     assert min(skill["good1"], skill["good2"]) > 0.6 and max(skill["always1"], skill["always2"], skill["chance"]) < 0.25
+    again, per2 = consensus.consensus(spark.createDataFrame(rows, ANN), annotators=1, passes=4)  # joins instead of broadcast counts
+    assert {r["item_id"]: r["label"] for r in again.collect()} == got
+    other = {r["annotator_id"]: r["skill"] for r in per2.collect()}
+    assert other.keys() == skill.keys() and all(abs(other[k] - skill[k]) < 0.02 for k in skill)
 
 
 def test_agreement_and_nothing(spark):
