@@ -1,13 +1,17 @@
-"""Evaluation passages inside training text (problem 9), by a positional index of the passages' word pairs.
-
-1. The index: word pair -> (passage sentence, offset), over all pairs of all passages, held in every task.
-2. A document's pairs are looked up; hits with one start are a diagonal. A sentence can be located only
-   on diagonals with enough hits, and there only as many of its words as stand near, slips included.
-   The sum over a passage's sentences bounds its cover from above: no pair at or over the share is lost.
-3. Pairs the bound leaves are compared: sentences are located in the document, small slips allowed, facts
-   (numbers, names) not; sentences in order and close by add up. Exact phrases count as well.
-
-The test set is a stated query set of bounded size (``MOST``); all documents are searched, in one pass.
+"""Evaluation passages inside training text (problem 9), by a positional inverted index of the training text.
+
+1. The index (:func:`build_index`): the documents in blocks of about ``BLOCK`` words; of each block its
+   documents, its terms, and every term's sorted positions. It is built in one pass without a shuffle,
+   stored, and serves any number of test sets.
+2. Search (:func:`search`): two words in a row are found by intersecting their position lists, offset by
+   one, from the rarer of the two; hits of one sentence with one start are a diagonal. A sentence can be
+   located only on diagonals with enough hits, and there only as many of its words as stand near, slips
+   included. The sum over a passage's sentences bounds its cover: no pair at or over the share is lost.
+3. Pairs that the bound leaves are compared on the positions: sentences are located, small slips allowed,
+   facts (numbers, names) not; sentences in order and close by add up. Exact phrases count as well.
+
+No list is longer than its block, so a word in every document is no hot key. The test set is a stated
+query set; it is searched in parts of about ``MOST`` passages, which every task holds.
 """
 
 from __future__ import annotations
@@ -20,14 +24,18 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from agorasift.llm.names import typo
 from agorasift.llm.sentences import sentence_spans
+from agorasift.session import cut
 
-#: Test passages at most: they are held in every task.
-MOST = 200_000
+#: Test passages of one part of the search, about: they are held in every task.
+MOST = 20_000
+#: Words in a block of the index, about; a longer document is a block of its own.
+BLOCK = 1 << 17
 #: Letters of the longest word whose misspellings are looked up by left-out letters; longer ones are compared one by one.
 LONG = 20
 #: Words that may stand between two matched sentences of a passage.
@@ -68,58 +76,61 @@ def _fact(w: str) -> bool:
     return w[0].isdigit() or (w[0].isupper() and w[0].lower() != w[0])
 
 
-def locate(sent: list[str], raw: list[str], words: list[str], at: dict[tuple, list[int]]) -> list[tuple[int, int, int]]:
+def stand_ins(passage: list[tuple[list[str], list[str]]], words: list[str]) -> list[tuple[str, ...]]:
+    """The passage's words that each word of a document can stand for."""
+    own = {w for s, _ in passage for w in s}
+    cache = {w: tuple(v for v in own if _same(v, w)) for w in set(words)}
+    return [cache[w] for w in words]
+
+
+def locate(sent: list[str], raw: list[str], words: list[str], fits: list[tuple[str, ...]], at: dict[tuple, list[int]]) -> list[tuple[int, int, int]]:
     """(first position, last position, matched words) of each place where a sentence, or a good part of it, stands.
 
-    ``at``: positions of the document's word pairs. A place is a diagonal with enough shared pairs;
-    from there the sentence is aligned word by word, slipping by at most two words at a time. A
-    number or name that stands against another one ends the match on its side.
+    ``fits``: the words that each document word can stand for; ``at``: positions of the document's
+    word pairs. A place is a diagonal with enough shared pairs; from there the sentence is aligned
+    word by word, slipping by at most two words at a time. A number or name that stands against
+    another one ends the match on its side.
     """
     n = len(sent)
-    diagonals: Counter = Counter()
+    diagonals: dict[int, list[int]] = defaultdict(list)
     for k in range(n - 1):
         for p in at.get((sent[k], sent[k + 1]), ()):
-            diagonals[p - k] += 1
+            diagonals[p - k].append(k)
     least = 2 if n > 4 else 1
     found, used = [], set()
-    for d, c in diagonals.most_common():
-        if c < least or any(x in used for x in (d - 2, d - 1, d, d + 1, d + 2)):
+    for d, seeds in sorted(diagonals.items(), key=lambda x: -len(x[1])):
+        if len(seeds) < least:
+            break
+        if not used.isdisjoint((d - 2, d - 1, d, d + 1, d + 2)):
             continue
         used.add(d)
-        seeds = [k for k in range(n - 1) if 0 <= d + k < len(words) - 1 and words[d + k] == sent[k] and words[d + k + 1] == sent[k + 1]]
         k0 = seeds[len(seeds) // 2]
-        right, r_end, r_clash = _extend(sent, raw, words, k0, d + k0, 1)
-        left, l_end, l_clash = _extend(sent, raw, words, k0 - 1, d + k0 - 1, -1)
-        matched = right + left
-        if r_clash or l_clash:  # other facts in the same sentence
+        right, r_end, r_clash = _extend(sent, raw, words, fits, k0, d + k0, 1)
+        if r_clash:  # other facts in the same sentence
             continue
-        if matched >= max(3, 0.3 * n) or matched == n:
+        left, l_end, l_clash = _extend(sent, raw, words, fits, k0 - 1, d + k0 - 1, -1)
+        matched = right + left
+        if not l_clash and (matched >= max(3, 0.3 * n) or matched == n):
             found.append((l_end, r_end, matched))
     return found
 
 
-def _extend(sent: list[str], raw: list[str], words: list[str], k: int, p: int, step: int) -> tuple[int, int, bool]:
+def _extend(sent: list[str], raw: list[str], words: list[str], fits: list[tuple[str, ...]], k: int, p: int, step: int) -> tuple[int, int, bool]:
     """(matched words, last matched position, did facts clash?) from sentence word k at document word p on."""
-    matched, last = 0, p - step
-    while 0 <= k < len(sent) and 0 <= p < len(words):
-        if _same(sent[k], words[p]):
+    matched, last, n, m = 0, p - step, len(sent), len(words)
+    while 0 <= k < n and 0 <= p < m:
+        if sent[k] in fits[p]:
             matched, last = matched + 1, p
             k, p = k + step, p + step
             continue
         best = None
-        for total in range(1, 4):  # the nearest way back: skip words on either side
-            for i in range(total + 1):
-                j = total - i
-                if i > 2 or j > 2:
-                    continue
-                kk, pp = k + step * i, p + step * j
-                if 0 <= kk < len(sent) and 0 <= pp < len(words) and _same(sent[kk], words[pp]):
-                    k2, p2 = kk + step, pp + step
-                    if not (0 <= k2 < len(sent) and 0 <= p2 < len(words)) or _same(sent[k2], words[p2]):
-                        best = (i, j)
-                        break
-            if best:
-                break
+        for i, j in _SLIPS:  # the nearest way back: skip words on either side
+            kk, pp = k + step * i, p + step * j
+            if 0 <= kk < n and 0 <= pp < m and sent[kk] in fits[pp]:
+                k2, p2 = kk + step, pp + step
+                if not (0 <= k2 < n and 0 <= p2 < m) or sent[k2] in fits[p2]:
+                    best = (i, j)
+                    break
         if best is None:
             return matched, last, False
         skipped = [raw[k + step * x] for x in range(best[0])]
@@ -131,20 +142,27 @@ def _extend(sent: list[str], raw: list[str], words: list[str], k: int, p: int, s
     return matched, last, False
 
 
-def covered(passage: list[tuple[list[str], list[str]]], words: list[str], at: dict[tuple, list[int]], share: float = 0.0, most: list[int] | None = None) -> float:
+#: Words skipped in the sentence and in the document, the fewest first.
+_SLIPS = tuple((i, t - i) for t in range(1, 4) for i in range(t + 1) if i <= 2 and t - i <= 2)
+
+
+def covered(
+    passage: list[tuple[list[str], list[str]]], words: list[str], at: dict[tuple, list[int]], share: float = 0.0, most: list[int] | None = None, fits: list[tuple[str, ...]] | None = None
+) -> float:
     """Share of the passage's words that the document holds in order, as one stretch or briefly interrupted.
 
     ``most``: upper bounds of the words of each sentence; 0 may be returned once they cannot reach ``share``.
     """
     total = sum(len(s) for s, _ in passage)
     most = [len(s) for s, _ in passage] if most is None else most
+    fits = stand_ins(passage, words) if fits is None else fits
     places: list[list[tuple[int, int, int]]] = [[] for _ in passage]
     hope = sum(most)
     for i in sorted(range(len(passage)), key=lambda i: -most[i]):
         if hope < share * total - 1e-9:
             return 0.0
         if most[i]:
-            places[i] = locate(*passage[i], words, at)
+            places[i] = locate(*passage[i], words, fits, at)
             hope -= most[i] - max((m for _, _, m in places[i]), default=0)
     best_all, rows = 0, []
     for i, options in enumerate(places):
@@ -176,27 +194,92 @@ def _left_out(w: str) -> set[str]:
     return out
 
 
+def build_index(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The positional inverted index of ``documents``: ``block, docs, starts, terms, counts, at``, one row per block.
+
+    Document i of a block has the positions ``starts[i]`` to ``starts[i + 1]``, the last one of them empty.
+    Term j occurs ``counts[j]`` times; its positions follow those of term j - 1 in ``at``, ascending. Null
+    ids and texts are left out. Write the result to a table to search it again.
+    """
+    kind = dict(documents.dtypes)[doc_id]
+
+    def row(block: str, docs: list, lists: list[list[int]], terms: dict[str, int]) -> tuple:
+        sizes = np.array([len(x) + 1 for x in lists])
+        starts = np.concatenate(([0], np.cumsum(sizes)))
+        ids = np.fromiter((w for x in lists for w in x), np.int64, int(sizes.sum()) - len(lists))
+        gaps = np.repeat(np.arange(len(lists)), sizes - 1)
+        order = np.argsort(ids, kind="stable")
+        return block, docs, starts.astype("int32"), list(terms), np.bincount(ids, minlength=len(terms)).astype("int32"), (order + gaps[order]).astype("int32")
+
+    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names = ["block", "docs", "starts", "terms", "counts", "at"]
+        part, made, n = TaskContext.get().partitionId(), 0, 0
+        docs, lists, terms = [], [], {}
+        for pdf in batches:
+            for d, t in zip(pdf["d"], pdf["t"]):
+                words = tokens(t)
+                for w in words:
+                    if w not in terms:
+                        terms[w] = len(terms)
+                docs.append(d)
+                lists.append([terms[w] for w in words])
+                n += len(words)
+                if n >= BLOCK:
+                    yield pd.DataFrame([row(f"{part}-{made}", docs, lists, terms)], columns=names)
+                    made, n, docs, lists, terms = made + 1, 0, [], [], {}
+        if docs:
+            yield pd.DataFrame([row(f"{part}-{made}", docs, lists, terms)], columns=names)
+
+    rows = documents.where(F.col(doc_id).isNotNull() & F.col(text).isNotNull()).select(F.col(doc_id).alias("d"), F.col(text).alias("t"))
+    return rows.mapInPandas(work, f"block string, docs array<{kind}>, starts array<int>, terms array<string>, counts array<int>, at array<int>")
+
+
+def _spans(first: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first[i] .. first[i] + n[i] - 1 for every i, one after another; the i of each)."""
+    row = np.repeat(np.arange(len(n)), n)
+    return np.arange(len(row)) - (np.cumsum(n) - n)[row] + first[row], row
+
+
+class Block:
+    """One block of the index with its position lists and its running text of term numbers."""
+
+    def __init__(self, docs: np.ndarray, starts: np.ndarray, terms: np.ndarray, counts: np.ndarray, at: np.ndarray) -> None:
+        self.docs, self.starts, self.terms, self.counts, self.at = docs, starts.astype(np.int64), terms, counts.astype(np.int64), at.astype(np.int64)
+        self.first = np.cumsum(self.counts) - self.counts
+        self.stream = np.full(int(self.starts[-1]) + 1, len(terms))  # also between documents: no term
+        self.stream[self.at] = np.repeat(np.arange(len(terms)), self.counts)
+
+    def words(self, doc: int) -> list[str]:
+        return self.terms[self.stream[self.starts[doc] : self.starts[doc + 1] - 1]].tolist()
+
+
 class Search:
-    """Upper bounds of ``covered`` for all passages in a document at once."""
+    """All passages of one part of the test set against blocks of the index."""
 
     def __init__(self, passages: list[list[tuple[list[str], list[str]]]], share: float) -> None:
-        self.share = share
+        self.passages, self.share = passages, share
         number: dict[str, int] = {}
-        pairs: dict[tuple, list[int]] = defaultdict(list)
         own, size, flat, at = [], [], [], [0]
+        pairs: dict[tuple[int, int], list[tuple[int, int]]] = defaultdict(list)
         for k, p in enumerate(passages):
             for s, _ in p:
+                w = [number.setdefault(x, len(number)) for x in s]
                 for o in range(len(s) - 1):
-                    pairs[s[o], s[o + 1]].append((len(own) << 32) - o)
+                    pairs[w[o], w[o + 1]].append((len(own), o))
                 own.append(k)
                 size.append(len(s))
-                flat += [number.setdefault(w, len(number)) for w in s]
+                flat += w
                 at.append(len(flat))
-        self.pairs = {x: np.array(v, np.int64) for x, v in pairs.items()}
-        self.own, self.size, self.flat, self.at = (np.array(x, np.int64) for x in (own, size, flat, at))
-        self.words = len(number)
+        self.number = number
+        self.own, self.size, self.flat, self.begins = (np.array(x, np.int64) for x in (own, size, flat, at))
         self.total = np.bincount(self.own, weights=self.size, minlength=len(passages))
-        self.begin = np.searchsorted(self.own, np.arange(len(passages)))
+        self.pair = np.array(list(pairs), np.int64).reshape(-1, 2)
+        uses = list(pairs.values())
+        self.uses_n = np.array([len(x) for x in uses], np.int64)
+        self.uses_first = np.cumsum(self.uses_n) - self.uses_n
+        self.uses = np.array([x for v in uses for x in v], np.int64).reshape(-1, 2)
+        self.begin = np.searchsorted(self.own, np.arange(len(passages) + 1))
+        self.single = [(p[0][0][0], k) for k, p in enumerate(passages) if len(p) == 1 and len(p[0][0]) == 1]
         slips: dict[str, list[str]] = defaultdict(list)
         loose = [v for v in number if len(v) > 3 and not v[0].isdigit()]
         for v in loose:
@@ -204,104 +287,196 @@ class Search:
                 slips[x].append(v)
         long = [v for v in loose if len(v) > LONG - 4]
 
-        @lru_cache(maxsize=200_000)
-        def alike(w: str) -> list[int]:
+        @lru_cache(maxsize=500_000)
+        def alike(w: str) -> tuple[int, ...]:
             """Passage words that a document's word can stand for."""
-            near = long if len(w) > LONG - 2 else {v for x in _left_out(w) for v in slips.get(x, ())}
-            return [number[v] for v in {v for v in near if _same(v, w)} | ({w} & number.keys())]
+            near: set | list = set()
+            if len(w) > 2 and not w[0].isdigit():
+                near = long if len(w) > LONG - 2 else {v for x in _left_out(w) for v in slips.get(x, ())}
+            return tuple(sorted({number[v] for v in near if _same(v, w)} | {number[v] for v in ({w} & number.keys())}))
 
         self.alike = alike
-
-    def _words(self, sent: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(words of the sentences one after another, row of ``sent`` of each, where each sentence begins)."""
-        n = self.size[sent]
-        row, first = np.repeat(np.arange(len(sent)), n), np.cumsum(n) - n
-        return self.flat[np.arange(len(row)) - first[row] + self.at[sent][row]], row, first
-
-    def _fit(self, sent: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(passages of the sentences, in order; may so many words of each sentence reach the share?)."""
-        k, first = np.unique(self.own[sent], return_index=True)
-        good = np.add.reduceat(words, first) >= self.share * self.total[k] - 1e-9
-        return k, good
-
-    def __call__(self, words: list[str]) -> dict[int, list[int]]:
-        """passage: the most words of each of its sentences that can be located, where they may reach the share."""
-        hits = [self.pairs[x] + p for p, x in enumerate(zip(words, words[1:])) if x in self.pairs]
-        if not hits:
-            return {}
-        x, c = np.unique(np.concatenate(hits), return_counts=True)
-        i = (x + (1 << 31)) >> 32
-        ok = c >= np.where(self.size[i] > 4, 2, 1)  # as in locate
-        x, i = x[ok], i[ok]
-        if not len(i):
-            return {}
-        sent = np.unique(i)
-        k, good = self._fit(sent, self.size[sent])
-        sent = sent[np.isin(self.own[sent], k[good])]
+        names = list(number)
+        self.fits = lru_cache(maxsize=500_000)(lambda w: tuple(names[v] for v in alike(w)))
+
+    def _diagonals(self, b: Block, term_of: np.ndarray) -> tuple[np.ndarray, ...]:
+        """(sentence, document, start, its middle pair's place in the sentence) of every diagonal with enough pairs of words in a row."""
+        none = np.empty(0, np.int64)
+        t = term_of[self.pair]
+        j = np.flatnonzero((t >= 0).all(1))
+        if not len(j):
+            return none, none, none, none
+        left, right = t[j, 0], t[j, 1]
+        by_left = b.counts[left] <= b.counts[right]
+        rare, other, step = np.where(by_left, left, right), np.where(by_left, right, left), np.where(by_left, 1, -1)
+        where, row = _spans(b.first[rare], b.counts[rare])  # the rarer word's list, offset by one against the other's
+        p = b.at[where]
+        hit = b.stream[p + step[row]] == other[row]
+        p, row = p[hit] - (step[row[hit]] < 0), row[hit]
+        where, row2 = _spans(self.uses_first[j[row]], self.uses_n[j[row]])
+        sent, offset = self.uses[where].T if len(where) else (none, none)
+        p = p[row2]
+        doc = np.searchsorted(b.starts, p, side="right") - 1
+        pad = int(self.size.max())
+        start = p - offset - b.starts[doc] + pad
+        wide = int(np.diff(b.starts).max()) + 2 * pad
+        if len(self.own) * len(b.docs) * wide * pad < 1 << 63:
+            code, offset = np.divmod(np.sort(((sent * len(b.docs) + doc) * wide + start) * pad + offset), pad)
+            new = np.flatnonzero(np.concatenate(([True], code[1:] != code[:-1]))) if len(code) else none
+            sent, doc = np.divmod(code[new] // wide, len(b.docs))
+            start = code[new] % wide
+        else:  # very many short documents beside a very long one
+            order = np.lexsort((offset, start, doc, sent))
+            sent, doc, start, offset = sent[order], doc[order], start[order], offset[order]
+            new = np.flatnonzero(np.concatenate(([True], (sent[1:] != sent[:-1]) | (doc[1:] != doc[:-1]) | (start[1:] != start[:-1]))))
+            sent, doc, start = sent[new], doc[new], start[new]
+        n = np.diff(np.append(new, len(offset)))
+        middle = offset[new + n // 2]
+        ok = n >= np.where(self.size[sent] > 4, 2, 1)  # as in locate
+        return sent[ok], doc[ok], (start + b.starts[doc] - pad)[ok], middle[ok]
+
+    def _hopeful(self, key: np.ndarray, n_docs: int, sent: np.ndarray, words: np.ndarray) -> np.ndarray:
+        """Which rows belong to a (passage, document) that so many words of each of its sentences let reach the share?
+
+        ``key``: passage * n_docs + document of each row; a sentence counts with its best row.
+        """
+        code, at = np.unique(key * len(self.own) + sent, return_inverse=True)
+        best = np.zeros(len(code), np.int64)
+        np.maximum.at(best, at, words)
+        pair, at2 = np.unique(code // len(self.own), return_inverse=True)
+        reach = np.bincount(at2, weights=best) >= self.share * self.total[pair // n_docs] - 1e-9
+        return reach[at2][at]
+
+    def _windows(self, sent: np.ndarray, low: np.ndarray, high: np.ndarray, start: np.ndarray | None, middle: np.ndarray | None) -> tuple[np.ndarray, ...]:
+        """(row of ``sent``, word, first and last position) of every word: between ``low`` and ``high``, and as near the diagonal as slips from its middle pair allow."""
+        where, row = _spans(self.begins[sent], self.size[sent])
+        low, high = low[row], high[row]
+        if start is not None:
+            offset = where - self.begins[sent][row]
+            slack = np.abs(offset - middle[row]) + 3
+            low, high = np.maximum(low, start[row] + offset - slack), np.minimum(high, start[row] + offset + slack)
+        return row, self.flat[where], low, np.maximum(high, low)
+
+    def _known(self, stands: np.ndarray, span: int, sent: np.ndarray, low: np.ndarray, high: np.ndarray, start: np.ndarray | None = None, middle: np.ndarray | None = None) -> np.ndarray:
+        """How many words of each sentence stand in their windows."""
+        row, word, low, high = self._windows(sent, low, high, start, middle)
+        at = np.searchsorted(stands, word * span + low)
+        hit = (at < len(stands)) & (stands[np.minimum(at, len(stands) - 1)] <= word * span + high)
+        return np.bincount(row, weights=hit, minlength=len(sent)).astype(np.int64)
+
+    def candidates(self, b: Block) -> dict[tuple[int, int], dict[int, int]]:
+        """(passage, document of the block): the most words of each of its sentences that can be located, where they may reach the share."""
+        exact = np.full(len(self.number), -1)
+        stand_words, stand_terms = [], []
+        for j, w in enumerate(b.terms.tolist()):
+            for v in self.alike(w):
+                stand_words.append(v)
+                stand_terms.append(j)
+            if w in self.number:
+                exact[self.number[w]] = j
+        sent, doc, start, middle = self._diagonals(b, exact)
+        n_docs = len(b.docs)
+
+        def narrow(words: np.ndarray) -> None:
+            nonlocal sent, doc, start, middle
+            ok = self._hopeful(self.own[sent] * n_docs + doc, n_docs, sent, words)
+            sent, doc, start, middle = sent[ok], doc[ok], start[ok], middle[ok]
+
+        narrow(self.size[sent])
         if not len(sent):
             return {}
-        stands = np.array([(v << 32) + p for p, w in enumerate(words) for v in self.alike(w)], np.int64)
-        stands.sort()
+        terms, words = np.array(stand_terms, np.int64), np.array(stand_words, np.int64)
+        where, row = _spans(b.first[terms], b.counts[terms])
+        span = b.starts[-1] + 1
+        stands = np.sort(words[row] * span + b.at[where])
         # words that stand anywhere in the document
-        known = np.zeros(self.words, bool)
-        known[stands >> 32] = True
-        word, _, first = self._words(sent)
-        k, good = self._fit(sent, np.add.reduceat(known[word].astype(np.int64), first))
-        ok = np.isin(i, sent) & np.isin(self.own[i], k[good])
-        x, i = x[ok], i[ok]
-        if not len(i):
+        code, back = np.unique(sent * n_docs + doc, return_inverse=True)
+        s, d = np.divmod(code, n_docs)
+        if len(self.number) * n_docs <= 1 << 28:
+            here = np.zeros(len(self.number) * n_docs, bool)
+            here[words[row] * n_docs + np.searchsorted(b.starts, b.at[where], side="right") - 1] = True
+            where, row = _spans(self.begins[s], self.size[s])
+            narrow(np.bincount(row, weights=here[self.flat[where] * n_docs + d[row]], minlength=len(s)).astype(np.int64)[back])
+        else:
+            narrow(self._known(stands, span, s, b.starts[d], b.starts[d + 1] - 2)[back])
+        if not len(sent):
             return {}
-        # words near a diagonal: a slip moves by two words at most and is followed by two equal ones, but at the ends
-        n, d = self.size[i], x - (i << 32)
-        word, row, first = self._words(i)
-        low, high = (word << 32) + np.maximum(d - n - 3, 0)[row], (word << 32) + (d + 2 * n + 3)[row]
-        m = np.add.reduceat((np.searchsorted(stands, low) < np.searchsorted(stands, high, side="right")).astype(np.int64), first)
+        # words near the diagonal: each slip moves by two words at most and takes two equal ones, but at the ends
+        if len(self.number) * (span // 32 + 2) <= 1 << 26:  # first by stretches of 32 positions
+            wide = span // 32 + 2
+            have = np.zeros((len(self.number), wide), np.int32)
+            have[stands // span, stands % span // 32 + 1] = 1
+            have = np.cumsum(have, axis=1, dtype=np.int32).ravel()
+            r, word, low, high = self._windows(sent, b.starts[doc], b.starts[doc + 1] - 2, start, middle)
+            narrow(np.bincount(r, weights=have[word * wide + high // 32 + 1] > have[word * wide + low // 32], minlength=len(sent)).astype(np.int64))
+            if not len(sent):
+                return {}
+        n = self.size[sent]
+        m = self._known(stands, span, sent, b.starts[doc], b.starts[doc + 1] - 2, start, middle)
         m[(m < np.maximum(3, 0.3 * n)) & (m < n)] = 0
-        sent, first = np.unique(i, return_index=True)
-        m = np.maximum.reduceat(m, first)
-        k, good = self._fit(sent, m)
-        most = dict(zip(sent.tolist(), m.tolist()))
-        return {p: [most.get(b + j, 0) for j in range(e - b)] for p, b, e in ((p, int(self.begin[p]), int(np.searchsorted(self.own, p, side="right"))) for p in k[good].tolist())}
+        ok = self._hopeful(self.own[sent] * n_docs + doc, n_docs, sent, m)
+        out: dict[tuple[int, int], dict[int, int]] = defaultdict(dict)
+        for s, d, x in zip(sent[ok].tolist(), doc[ok].tolist(), m[ok].tolist()):
+            most = out[int(self.own[s]), d]
+            most[s] = max(x, most.get(s, 0))
+        return out
+
+    def __call__(self, b: Block) -> list[tuple[int, object, float]]:
+        """(passage, document id, share) of every document that holds at least the share."""
+        out = []
+        if self.single:
+            at = {w: j for j, w in enumerate(b.terms.tolist())}
+            for w, k in self.single:
+                if w in at:
+                    p = b.at[b.first[at[w]] : b.first[at[w]] + b.counts[at[w]]]
+                    out += [(k, b.docs[d], 1.0) for d in np.unique(np.searchsorted(b.starts, p, side="right") - 1)]
+        by_doc: dict[int, list] = defaultdict(list)
+        for (k, d), most in self.candidates(b).items():
+            by_doc[d].append((k, most))
+        for d, likely in by_doc.items():
+            words = b.words(d)
+            fits = [self.fits(w) for w in words]
+            every = pair_positions(words)
+            for k, most in likely:
+                c = covered(self.passages[k], words, every, self.share, [most.get(s, 0) for s in range(self.begin[k], self.begin[k + 1])], fits)
+                if c >= self.share:
+                    out.append((k, b.docs[d], c))
+        return out
+
+
+def search(index: DataFrame, items: DataFrame, *, share: float = 0.5, doc_id: str = "doc_id", most: int = MOST) -> DataFrame:
+    """``item_id, doc_id, share``: indexed documents that hold at least ``share`` of an item's passage.
+
+    Equal passages are searched once and reported under each of their item_ids. Null passages and
+    item_ids take no part; an empty side gives an empty result. Passages of one word and more are
+    searched. A test set of more than ``most`` items is searched in parts, so every passage is used.
+    """
+    spark = index.sparkSession
+    kind, item = dict(index.dtypes)["docs"][6:-1], dict(items.dtypes)["item_id"]
+    listed = items.where("item_id is not null and passage is not null").select("item_id", "passage").distinct()
+    parts = -(-listed.count() // most) or 1
+    out = spark.createDataFrame([], f"item_id {item}, {doc_id} {kind}, share double")
+    for part in range(parts):
+        rows = listed.where(F.pmod(F.xxhash64("passage"), F.lit(parts)) == part).collect()  # about ``most`` rows
+        texts = sorted({r["passage"] for r in rows})
+        number = {t: k for k, t in enumerate(texts)}
+        held = spark.sparkContext.broadcast([passage_sentences(t) for t in texts])
+
+        def work(batches: Iterator[pd.DataFrame], held=held) -> Iterator[pd.DataFrame]:  # noqa: ANN001
+            find = Search(held.value, share)
+            for pdf in batches:
+                for row in zip(pdf["docs"], pdf["starts"], pdf["terms"], pdf["counts"], pdf["at"]):
+                    yield pd.DataFrame(find(Block(*row)), columns=["k", "d", "c"])
+
+        names = spark.createDataFrame([(r["item_id"], number[r["passage"]]) for r in rows], f"item_id {item}, k int")
+        good = index.mapInPandas(work, f"k int, d {kind}, c double").join(F.broadcast(names), "k")
+        out = out.unionByName(good.groupBy("item_id", F.col("d").alias(doc_id)).agg(F.max("c").alias("share")))
+    return out
 
 
 def leaks(documents: DataFrame, items: DataFrame, *, share: float = 0.5, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``item_id, doc_id, share``: documents that hold at least ``share`` of an item's passage.
-
-    Equal passages are searched once and reported under each of their item_ids. Null texts, passages
-    and ids take no part; an empty side gives an empty result. Passages of one word and more are searched.
-    """
-    spark = documents.sparkSession
-    listed = items.where("item_id is not null and passage is not null").select("item_id", "passage").distinct().limit(MOST + 1).collect()
-    if len(listed) > MOST:
-        raise ValueError(f"more than {MOST} test items; search them in parts")
-    texts = sorted({r["passage"] for r in listed})
-    number = {t: k for k, t in enumerate(texts)}
-    passages = [passage_sentences(t) for t in texts]
-    docs = documents.where(F.col(doc_id).isNotNull() & F.col(text).isNotNull()).select(F.col(doc_id).alias("d"), F.col(text).alias("t"))
-    single: dict[str, list[int]] = defaultdict(list)
-    for k, p in enumerate(passages):
-        if len(p) == 1 and len(p[0][0]) == 1:
-            single[p[0][0][0]].append(k)
-
-    def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        search = Search(passages, share)
-        for pdf in batches:
-            out = []
-            for d, t in zip(pdf["d"], pdf["t"]):
-                words = tokens(t)
-                out += [(k, d, 1.0) for w in single.keys() & set(words) for k in single[w]]
-                likely = search(words)
-                every = pair_positions(words) if likely else {}
-                for k, most in likely.items():
-                    c = covered(passages[k], words, every, share, most)
-                    if c >= share:
-                        out.append((k, d, c))
-            yield pd.DataFrame(out, columns=["k", "d", "c"])
-
-    kind = dict(docs.dtypes)["d"]
-    good = docs.mapInPandas(verify, f"k int, d {kind}, c double")
-    names = spark.createDataFrame([(r["item_id"], number[r["passage"]]) for r in listed], f"item_id {dict(items.dtypes)['item_id']}, k int")
-    return good.join(F.broadcast(names), "k").groupBy("item_id", F.col("d").alias(doc_id)).agg(F.max("c").alias("share"))
+    """:func:`search` over an index of ``documents`` built for the occasion."""
+    return search(cut(build_index(documents, doc_id, text)), items, share=share, doc_id=doc_id)
 
 
 def verbatim(documents: DataFrame, items: DataFrame) -> DataFrame:

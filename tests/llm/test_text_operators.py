@@ -159,6 +159,10 @@ def test_leaks(spark):
     i = spark.createDataFrame([(*r, "y") for r in items], "item_id long, passage string, d string")
     assert {(r["item_id"], r["doc_id"]) for r in leaks.leaks(d, i).collect()} == {(1, 1), (2, 1), (1, 3), (2, 3), (3, 4)}
     assert {(r["item_id"], r["doc_id"]) for r in leaks.verbatim(d, i).collect()} == {(1, 1), (2, 1), (1, 3), (2, 3), (3, 4)}
+    # one stored index serves further test sets, and a large test set in parts
+    index = leaks.build_index(d).persist()
+    assert {(r["item_id"], r["doc_id"]) for r in leaks.search(index, i.where("item_id = 3")).collect()} == {(3, 4)}
+    assert {(r["item_id"], r["doc_id"]) for r in leaks.search(index, i, most=2).collect()} == {(1, 1), (2, 1), (1, 3), (2, 3), (3, 4)}
     assert leaks.leaks(d.limit(0), i).count() == 0 and leaks.leaks(d, i.limit(0)).count() == 0
 
 
