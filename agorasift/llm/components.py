@@ -19,7 +19,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> tuple[DataFrame,
     """(``node, root``) for every node that has an edge, and the forest (``a, b``).
 
     The root is the smallest node of the component. Null ends, self-edges and repeated edges are
-    ignored; an empty input gives two empty tables. Node values must be strings.
+    ignored; an empty input gives two empty tables. Nodes are strings or numbers.
     """
     base = (
         edges.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))

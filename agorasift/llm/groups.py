@@ -16,8 +16,6 @@ def pairs_of_forms(members: DataFrame, key: str, form: str, member: str) -> Data
     """
     m = cut(members.select(F.col(key).alias("k"), F.col(form).alias("f"), F.col(member).alias("m")).distinct())
     forms = m.select("k", "f").distinct()
-    several = forms.groupBy("k").agg(F.count("*").alias("n")).where("n > 1").select("k")
-    forms = forms.join(several, "k", "left_semi")
     pairs = forms.select("k", F.col("f").alias("fa")).join(forms.select("k", F.col("f").alias("fb")), "k").where("fa < fb")
     left = m.select("k", F.col("f").alias("fa"), F.col("m").alias("x"))
     right = m.select("k", F.col("f").alias("fb"), F.col("m").alias("y"))

@@ -41,18 +41,19 @@ def _place(c: Column) -> Column:
 
 
 def classes_of(contributions: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(members ``contribution_id, name, cls``; classes ``cls, city, state, words, initials, suffix, org``)."""
+    """(members ``contribution_id, name, cls``; classes ``cls, city, state, words, initials, suffix, org``); ``cls`` is a number."""
     rows = contributions.where("contribution_id is not null and contributor_name is not null").select(
         "contribution_id", F.col("contributor_name").alias("name"), _place(F.col("contributor_city")).alias("city"), _place(F.col("contributor_state")).alias("state")
-    )
+    ).distinct()
     spelt = rows.select("name").distinct().withColumn("p", _parsed("name")).select("name", "p.*").where(F.size("words") > 0)
     form = F.concat_ws("|", F.array_join("words", " "), F.array_join("initials", ""), "suffix", F.col("org").cast("string"))
     spelt = cut(spelt.withColumn("form", form))
-    members = rows.join(spelt.select("name", "form"), "name")
-    members = cut(members.select("contribution_id", "name", "form", "city", "state", F.concat_ws("\x1f", "form", F.coalesce("city", F.lit("?")), F.coalesce("state", F.lit("?"))).alias("cls")).distinct())
-    forms = spelt.drop("name").dropDuplicates(["form"])
-    cls = cut(members.select("cls", "form", "city", "state").distinct().join(forms, "form").drop("form"))
-    return members.select("contribution_id", "name", "cls"), cls
+    key = F.concat_ws("\x1f", "form", F.coalesce("city", F.lit("?")), F.coalesce("state", F.lit("?")))
+    members = cut(rows.join(spelt, "name").select("contribution_id", "name", key.alias("key"), "city", "state", "words", "initials", "suffix", "org"))
+    parts = ["city", "state", "words", "initials", "suffix", "org"]
+    one = members.groupBy("key").agg(F.first(F.struct(*parts)).alias("c"))  # equal for equal keys
+    cls = cut(one.select("key", "c.*").withColumn("cls", F.monotonically_increasing_id()))  # numbers stay as they are once stored
+    return members.join(cls.select("key", "cls"), "key").select("contribution_id", "name", "cls"), cls.drop("key")
 
 
 def key_words(cls: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -60,7 +61,7 @@ def key_words(cls: DataFrame) -> tuple[DataFrame, DataFrame]:
     words = cls.select("cls", F.explode(F.array_distinct("words")).alias("w"))
     total = cls.agg(F.count("*").alias("total"))
     df = words.groupBy("w").agg(F.count("*").alias("df"))
-    df = cut(df.join(F.broadcast(total)).select("w", F.log(1 + F.col("total") / F.col("df")).alias("weight")))
+    df = df.join(F.broadcast(total)).select("w", F.log(1 + F.col("total") / F.col("df")).alias("weight"))  # one row
     return words.where(F.length("w") >= 2), df
 
 
@@ -93,72 +94,110 @@ def similar_words(left: DataFrame, right: DataFrame) -> DataFrame:
     return near.where(close).distinct().unionByName(same)
 
 
-_OUT = T.StructType().add("a", "string").add("b", "string").add("weak", "boolean")
+_OUT = T.StructType().add("a", "long").add("b", "long").add("k", "string").add("weak", "boolean")
 
 
 def _verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         keep = []
-        for a, b, keys, fa, fb, w1, w2 in zip(pdf["a"], pdf["b"], pdf["x"], pdf["fa"], pdf["fb"], pdf["ga"], pdf["gb"]):
+        for a, b, k, fa, fb in zip(pdf["a"], pdf["b"], pdf["k"], pdf["fa"], pdf["fb"]):
             pa = (list(fa["words"]), list(fa["initials"]), fa["suffix"], fa["org"])
             pb = (list(fb["words"]), list(fb["initials"]), fb["suffix"], fb["org"])
-            weight = dict(zip(pa[0], w1)) | dict(zip(pb[0], w2))
-            scores = [N.compare(pa, pb, x["wa"], x["wb"], weight) for x in keys]
-            weak = [w for score, w in scores if score >= SURE]
+            weight = dict(zip(pa[0], fa["weights"])) | dict(zip(pb[0], fb["weights"]))
+            keys = {(x, y) for x in pa[0] for y in pb[0] if len(x) >= 2 and (x == y or N.typo(x, y))}
+            weak = [w for score, w in (N.compare(pa, pb, x, y, weight) for x, y in sorted(keys)) if score >= SURE]
             if weak:  # a given name as key hides that it is an ambiguous short form
-                keep.append((a, b, any(weak)))
-        yield pd.DataFrame(keep, columns=["a", "b", "weak"])
+                keep.append((a, b, k, any(weak)))
+        yield pd.DataFrame(keep, columns=["a", "b", "k", "weak"])
+
+
+#: Links of one place above which the place is contracted by joins and not in one task.
+HOT_LINKS = 200_000
+
+
+def _stars(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Node and root of every component of the links of whole places."""
+    up: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        up.setdefault(x, x)
+        while up[x] != x:
+            up[x] = x = up[up[x]]
+        return x
+
+    for pdf in batches:
+        for a, b in zip(pdf["a"].tolist(), pdf["b"].tolist()):
+            ra, rb = find(a), find(b)
+            if ra != rb:
+                up[max(ra, rb)] = min(ra, rb)
+    nodes = list(up)
+    yield pd.DataFrame({"node": nodes, "root": [find(x) for x in nodes]}, columns=["node", "root"], dtype="int64")
+
+
+def place_components(links: DataFrame, hot_links: int = HOT_LINKS) -> DataFrame:
+    """``node, root`` for links ``a, b`` that lie inside one place ``k`` each.
+
+    Places are contracted where their links meet, many in a task; a place of more than ``hot_links``
+    links is left to :func:`components`.
+    """
+    sizes = links.groupBy("k").agg(F.count("*").alias("n"))
+    hot = cut(sizes.where(F.col("n") > hot_links).select("k"))
+    if hot.isEmpty():
+        return links.repartition("k").mapInPandas(_stars, "node long, root long")
+    cold = links.join(hot, "k", "left_anti").repartition("k").mapInPandas(_stars, "node long, root long")
+    return cold.unionByName(components(links.join(hot, "k", "left_semi").select("a", "b"))[0])
 
 
-def linked_classes(cls: DataFrame) -> DataFrame:
+def linked_classes(cls: DataFrame, hot_links: int = HOT_LINKS) -> DataFrame:
     """``node, root`` for every class that is linked to another."""
     key, df = key_words(cls)
     place = cls.select("cls", "city", "state").join(key, "cls")
     full = F.col("city").isNotNull() & F.col("state").isNotNull()
     own = F.when(full, F.concat_ws("|", F.lit("cs"), "city", "state")).when(F.col("city").isNotNull(), F.concat_ws("|", F.lit("c"), "city")).when(F.col("state").isNotNull(), F.concat_ws("|", F.lit("s"), "state")).otherwise("*")
-    left = cut(place.select("cls", "w", own.alias("k"), (~full).alias("loose")))
+    left = cut(place.select("cls", "w", own.alias("k"), (~full).alias("loose"), "city", "state"))
     # a class answers to its full place, and to places known in part
     every = F.array(F.when(full, F.concat_ws("|", F.lit("cs"), "city", "state")), F.when(F.col("city").isNotNull(), F.concat_ws("|", F.lit("c"), "city")), F.when(F.col("state").isNotNull(), F.concat_ws("|", F.lit("s"), "state")), F.lit("*"))
-    asked = left.select("k").distinct()
-    right = cut(place.select("cls", "w", F.explode(every).alias("k")).where("k is not null").join(asked, "k", "left_semi"))
-    alike = cut(similar_words(left.select("k", "w").distinct(), right.select("k", "w").distinct()))
+    asked = left.where("loose").select("k").distinct()
+    wide = left.select("cls", "w", F.explode(every).alias("k")).where("k is not null")
+    right = cut(wide.where("k like 'cs|%'").unionByName(wide.where("k not like 'cs|%'").join(asked, "k", "left_semi")))
+    alike = similar_words(left.select("k", "w").distinct(), right.select("k", "w").distinct())
     # a class's words and their weights
-    weights = cls.select("cls", F.posexplode("words").alias("i", "w")).join(df.select("w", "weight"), "w").groupBy("cls").agg(F.array_sort(F.collect_list(F.struct("i", "weight"))).alias("g"))
-    full_form = cls.join(weights, "cls").select("cls", F.struct("words", "initials", "suffix", "org").alias("f"), F.transform("g", lambda e: e["weight"]).alias("g"))
+    weights = cls.select("cls", F.posexplode("words").alias("i", "w")).join(df, "w").groupBy("cls").agg(F.array_sort(F.collect_list(F.struct("i", "weight"))).alias("g"))
+    form = cut(cls.join(weights, "cls").select("cls", F.struct("words", "initials", "suffix", "org", F.transform("g", lambda e: e["weight"]).alias("weights")).alias("f")))
     pairs = (
         alike.join(left.select("k", F.col("w").alias("wa"), F.col("cls").alias("a"), "loose"), ["k", "wa"])
         .join(right.select("k", F.col("w").alias("wb"), F.col("cls").alias("b")), ["k", "wb"])
         .where("a <> b").where(F.col("loose") | (F.col("a") < F.col("b")))
-        .groupBy("a", "b").agg(F.collect_set(F.struct("wa", "wb")).alias("x"), F.max("loose").alias("loose"))
+        .select("a", "b", "k").distinct()
     )
     pairs = (
-        pairs.join(full_form.select(F.col("cls").alias("a"), F.col("f").alias("fa"), F.col("g").alias("ga")), "a")
-        .join(full_form.select(F.col("cls").alias("b"), F.col("f").alias("fb"), F.col("g").alias("gb")), "b")
+        pairs.join(form.select(F.col("cls").alias("a"), F.col("f").alias("fa")), "a")
+        .join(form.select(F.col("cls").alias("b"), F.col("f").alias("fb")), "b")
         # what compare() asks of any pair first
         .where("fa.org = fb.org and fa.suffix = fb.suffix and (not fa.org or size(fa.words) = size(fb.words))")
-        .select("a", "b", "x", "fa", "fb", "ga", "gb")
+        .select("a", "b", "k", "fa", "fb")
     )
-    links = cut(pairs.mapInPandas(_verify, _OUT))
+    links = pairs.mapInPandas(_verify, _OUT)
     several = sorted(w for w, formal in N.FORMALS.items() if len(formal) > 1 and w not in N.SHORT_FORMS)
     short = (F.size("words") < 2) | F.exists("words", lambda w: w.isin(*several))
     vague = cls.select("cls", (F.col("city").isNull() | F.col("state").isNull()).alias("loose"), (short & ~F.col("org")).alias("short"))
-    sides = links.join(vague.select(F.col("cls").alias("a"), F.col("loose").alias("la"), F.col("short").alias("sa")), "a").join(vague.select(F.col("cls").alias("b"), F.col("loose").alias("lb"), F.col("short").alias("sb")), "b")
-    sure = sides.where("not weak and not la and not lb").select("a", "b")
-    first, _ = components(sure)
+    sides = cut(links.join(vague.select(F.col("cls").alias("a"), F.col("loose").alias("la"), F.col("short").alias("sa")), "a").join(vague.select(F.col("cls").alias("b"), F.col("loose").alias("lb"), F.col("short").alias("sb")), "b"))
+    first = cut(place_components(sides.where("not weak and not la and not lb").select("a", "b", "k"), hot_links))
     # classes that are vague by themselves, or linked by an ambiguous short form, choose among components
     unsure = sides.where("weak or la or lb")
     arms = unsure.select(F.col("a").alias("u"), F.col("b").alias("v"), (F.col("sa") | F.col("la")).alias("vu"), (F.col("sb") | F.col("lb")).alias("vv"))
     arms = arms.unionByName(unsure.select(F.col("b").alias("u"), F.col("a").alias("v"), (F.col("sb") | F.col("lb")).alias("vu"), (F.col("sa") | F.col("la")).alias("vv")))
     arms = arms.distinct().join(first.select(F.col("node").alias("v"), F.col("root").alias("rv")), "v", "left").join(first.select(F.col("node").alias("u"), F.col("root").alias("ru")), "u", "left")
     arms = cut(arms.select("u", "v", "vu", "vv", F.coalesce("ru", "u").alias("ru"), F.coalesce("rv", "v").alias("rv")))
-    to_firm = arms.where("not vv and ru <> rv").groupBy("u", "ru", "vu").agg(F.count_distinct("rv").alias("n"), F.min("rv").alias("rv"))
-    chosen = to_firm.where("n = 1").select(F.col("u").alias("a"), F.col("rv").alias("b"))
+    to_firm = cut(arms.where("not vv and ru <> rv").groupBy("u", "ru", "vu").agg(F.count_distinct("rv").alias("n"), F.min("rv").alias("rv")))
+    chosen = to_firm.where("n = 1").select(F.col("ru").alias("a"), F.col("rv").alias("b"))
     # vague classes that fit no firm one may fit each other
     lost = arms.where("vu and vv").join(to_firm.select("u").distinct(), "u", "left_anti")
-    lost = lost.join(to_firm.select(F.col("u").alias("v")).distinct(), "v", "left_anti").select(F.col("u").alias("a"), F.col("v").alias("b"))
-    roots = first.select(F.col("node").alias("a"), F.col("root").alias("b")).where("a <> b")
-    nodes, _ = components(roots.unionByName(chosen).unionByName(lost))
-    return nodes
+    lost = lost.join(to_firm.select(F.col("u").alias("v")).distinct(), "v", "left_anti").select(F.col("ru").alias("a"), F.col("rv").alias("b"))
+    # components of components: only the new links are contracted
+    above, _ = components(chosen.unionByName(lost))
+    nodes = first.unionByName(above.select("node", F.col("node").alias("root"))).groupBy("node").agg(F.min("root").alias("root"))
+    return nodes.join(above.select(F.col("node").alias("root"), F.col("root").alias("top")), "root", "left").select("node", F.coalesce("top", "root").alias("root"))
 
 
 def linked_contributions(contributions: DataFrame) -> DataFrame:
@@ -168,7 +207,7 @@ def linked_contributions(contributions: DataFrame) -> DataFrame:
     """
     members, cls = classes_of(contributions)
     nodes = linked_classes(cls)
-    return members.join(nodes, members["cls"] == nodes["node"], "left").select("contribution_id", F.col("name").alias("contributor_name"), F.coalesce("root", "cls").alias("entity"))
+    return members.join(nodes.withColumnRenamed("node", "cls"), "cls", "left").select("contribution_id", F.col("name").alias("contributor_name"), F.coalesce("root", "cls").alias("entity"))
 
 
 def found(contributions: DataFrame) -> DataFrame:
