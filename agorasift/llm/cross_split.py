@@ -2,8 +2,9 @@
 
 Every text gets a 64-bit similarity hash and, as code blocks, the similarity hashes of its
 segments. Equal blocks of the two sides are joined; a pair stays if its whole codes lie within the
-Hamming radius and its numbers can be the same, which is settled inside the join. Only then the
-texts are compared. Exact copies (equal core words) are one class and never paired with each other.
+Hamming radius, or half of the blocks of the shorter text agree (a copy that was cut off), and if its
+numbers can be the same. Only then the texts are compared. Exact copies (equal core words) are one
+class and never paired with each other.
 
 The hot case, one message in a great part of all rows, costs one block row per map task and code.
 """
@@ -19,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from agorasift.functions.joins import join_hot
 from agorasift.llm import messages as M
 from agorasift.session import cut
 
@@ -57,12 +59,11 @@ def _pair(a: str, b: str) -> tuple:
     return x, y, cx, cy
 
 
-def overlaps(tweets: DataFrame, splits: DataFrame, *, held_out: tuple[str, ...] = ("validation", "test"), train: str = "train") -> DataFrame:
-    """Distinct ``held_id, train_id``: a held-out tweet and a training tweet that are copies of one message.
+def linked(tweets: DataFrame, splits: DataFrame, *, held_out: tuple[str, ...] = ("validation", "test"), train: str = "train") -> tuple[DataFrame, DataFrame]:
+    """(members ``id, held, cls``, one row per tweet and side; links ``cls_a, cls_b`` of a held-out and a training class).
 
-    A tweet counts under every split it is assigned to; unassigned tweets, other splits, null ids and
-    null texts take no part. Texts without a word equal only each other (as exact copies of nothing)
-    and give no pair. Empty tables give an empty result.
+    ``cls`` stands for the core words of a text; texts without a word are in no class. A tweet counts
+    under every side it is assigned to; unassigned tweets, other splits, null ids and null texts take no part.
     """
     sides = splits.where(F.col("split").isin(train, *held_out) & F.col("tweet_id").isNotNull()).select(F.col("tweet_id").alias("id"), (F.col("split") != train).alias("held")).distinct()
     texts = tweets.where("tweet_id is not null and text_raw is not null").select(F.col("tweet_id").alias("id"), F.col("text_raw").alias("text"))
@@ -71,12 +72,13 @@ def overlaps(tweets: DataFrame, splits: DataFrame, *, held_out: tuple[str, ...]
     empty = xxhash.xxh3_128_digest("")
     coded = coded.where(F.col("cls") != F.lit(bytearray(empty)))
 
-    blocks = coded.where(F.size("blocks") > 0).select(F.explode("blocks").alias("block"), "held", "code", "mask").repartition("block")
-    left = blocks.where("held").select("block", F.col("code").alias("ca"), F.col("mask").alias("ma")).distinct()
-    right = blocks.where("not held").select("block", F.col("code").alias("cb"), F.col("mask").alias("mb")).distinct()
+    blocks = coded.where(F.size("blocks") > 0).select(F.explode("blocks").alias("block"), "held", "code", "mask", F.size("blocks").alias("n")).repartition("block")
+    left = blocks.where("held").select("block", F.col("code").alias("ca"), F.col("mask").alias("ma"), F.col("n").alias("na")).distinct()
+    right = blocks.where("not held").select("block", F.col("code").alias("cb"), F.col("mask").alias("mb"), F.col("n").alias("nb")).distinct()
     both = F.col("ma").bitwiseAND(F.col("mb"))
-    near = left.join(right, "block").where((F.bit_count(F.col("ca").bitwiseXOR(F.col("cb"))) <= RADIUS) & ((both == F.col("ma")) | (both == F.col("mb"))))
-    near = cut(near.select("ca", "cb").distinct())
+    near = left.join(right, "block").where((both == F.col("ma")) | (both == F.col("mb"))).groupBy("ca", "cb", "na", "nb", "ma", "mb").agg(F.count("*").alias("same"))
+    within = F.bit_count(F.col("ca").bitwiseXOR(F.col("cb"))) <= RADIUS
+    near = cut(near.where(within | (F.col("same") * 2 >= F.least("na", "nb"))).select("ca", "cb").distinct())
 
     def sample(held: bool, s: str) -> DataFrame:
         """Classes of one side that have a candidate code, with one text each."""
@@ -85,7 +87,15 @@ def overlaps(tweets: DataFrame, splits: DataFrame, *, held_out: tuple[str, ...]
         return reps.join(one, "id").select(F.col("code").alias(f"c{s}"), F.col("cls").alias(f"cls_{s}"), F.col("text").alias(f"text_{s}"))
 
     cand = near.join(sample(True, "a"), "ca").join(sample(False, "b"), "cb").where("cls_a <> cls_b").select("cls_a", "cls_b", "text_a", "text_b")
-    links = cut(cand.mapInPandas(_verify, "cls_a binary, cls_b binary"))
+    return coded.select("id", "held", "cls"), cut(cand.mapInPandas(_verify, "cls_a binary, cls_b binary").distinct())
+
+
+def overlaps(tweets: DataFrame, splits: DataFrame, *, held_out: tuple[str, ...] = ("validation", "test"), train: str = "train") -> DataFrame:
+    """Distinct ``held_id, train_id``: a held-out tweet and a training tweet that are copies of one message.
+
+    Sides as in :func:`linked`. Empty tables give an empty result.
+    """
+    coded, links = linked(tweets, splits, held_out=held_out, train=train)
     held, kept = coded.where("held").select("id", "cls"), coded.where("not held").select("id", "cls")
     same = held.select(F.col("id").alias("held_id"), "cls").join(kept.select(F.col("id").alias("train_id"), "cls"), "cls").select("held_id", "train_id")
     other = (
@@ -101,12 +111,30 @@ def found(tweets: DataFrame, splits: DataFrame) -> DataFrame:
     return overlaps(tweets, splits).select(F.least("held_id", "train_id").alias("tweet_id_a"), F.greatest("held_id", "train_id").alias("tweet_id_b")).distinct()
 
 
+def classes(tweets: DataFrame, splits: DataFrame) -> DataFrame:
+    """``tweet_id, held, cls, links``: every assigned tweet with its class, and how many classes of the other side it is linked to.
+
+    Tweets of equal core words share the class; no pair of copies is written out.
+    """
+    members, links = linked(tweets, splits)
+    per = links.select(F.lit(True).alias("held"), F.col("cls_a").alias("cls")).unionByName(links.select(F.lit(False).alias("held"), F.col("cls_b").alias("cls")))
+    per = per.groupBy(F.concat(F.hex("cls"), F.col("held").cast("string")).alias("key")).agg(F.count("*").alias("links"))
+    keyed = members.withColumn("key", F.concat(F.hex("cls"), F.col("held").cast("string")))
+    return join_hot(keyed, per, "key", F.col("id"), "left").select(F.col("id").alias("tweet_id"), "held", F.hex("cls").alias("cls"), F.coalesce("links", F.lit(0)).alias("links"))
+
+
 def report(tweets: DataFrame, splits: DataFrame) -> DataFrame:
     """``split, collection_query, tweets, leaked, pairs`` per held-out split and source.
 
-    ``tweets``: distinct assigned tweets of that source; ``leaked``: those with a copy in training.
+    ``tweets``: distinct assigned tweets of that source; ``leaked``: those with a copy in training;
+    ``pairs``: how many pairs they form. Counted from class sizes and links between classes; no pair is formed.
     """
-    pairs = overlaps(tweets, splits).groupBy(F.col("held_id").alias("tweet_id")).agg(F.count("*").alias("pairs"))
+    members, links = linked(tweets, splits)
+    kept = members.where("not held").groupBy("cls").agg(F.count("*").alias("n"))
+    met = links.join(kept.select(F.col("cls").alias("cls_b"), "n"), "cls_b").select(F.col("cls_a").alias("cls"), "n")
+    per = kept.select("cls", "n").unionByName(met).groupBy("cls").agg(F.sum("n").alias("pairs"))
+    mine = members.where("held").select("id", "cls").join(members.where("not held").select("id", F.lit(1).alias("own")), "id", "left")  # a tweet is no copy of itself
+    pairs = join_hot(mine, per, "cls", F.col("id")).select(F.col("id").alias("tweet_id"), (F.col("pairs") - F.coalesce("own", F.lit(0))).alias("pairs")).where("pairs > 0")
     held = splits.where("split in ('validation', 'test')").select("tweet_id", "split").distinct()
     sources = tweets.select("tweet_id", "collection_query").distinct().join(held, "tweet_id")
     rows = sources.join(pairs, "tweet_id", "left")

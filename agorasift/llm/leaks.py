@@ -248,6 +248,7 @@ class Block:
         self.first = np.cumsum(self.counts) - self.counts
         self.stream = np.full(int(self.starts[-1]) + 1, len(terms))  # also between documents: no term
         self.stream[self.at] = np.repeat(np.arange(len(terms)), self.counts)
+        self.doc_of = np.repeat(np.arange(len(docs)), np.diff(self.starts))
 
     def words(self, doc: int) -> list[str]:
         return self.terms[self.stream[self.starts[doc] : self.starts[doc + 1] - 1]].tolist()
@@ -273,6 +274,11 @@ class Search:
         self.number = number
         self.own, self.size, self.flat, self.begins = (np.array(x, np.int64) for x in (own, size, flat, at))
         self.total = np.bincount(self.own, weights=self.size, minlength=len(passages))
+        #: How often each passage holds each word, for test sets that are small enough.
+        self.uses_of = None
+        if len(passages) * len(number) <= 1 << 24:
+            self.uses_of = np.zeros((len(passages), len(number)), np.float32)
+            np.add.at(self.uses_of, (np.repeat(self.own, self.size), self.flat), 1)
         self.pair = np.array(list(pairs), np.int64).reshape(-1, 2)
         uses = list(pairs.values())
         self.uses_n = np.array([len(x) for x in uses], np.int64)
@@ -299,8 +305,11 @@ class Search:
         names = list(number)
         self.fits = lru_cache(maxsize=500_000)(lambda w: tuple(names[v] for v in alike(w)))
 
-    def _diagonals(self, b: Block, term_of: np.ndarray) -> tuple[np.ndarray, ...]:
-        """(sentence, document, start, its middle pair's place in the sentence) of every diagonal with enough pairs of words in a row."""
+    def _diagonals(self, b: Block, term_of: np.ndarray, possible: np.ndarray | None) -> tuple[np.ndarray, ...]:
+        """(sentence, document, start, its middle pair's place in the sentence) of every diagonal with enough pairs of words in a row.
+
+        ``possible`` [passage, document], where given, tells which need no look.
+        """
         none = np.empty(0, np.int64)
         t = term_of[self.pair]
         j = np.flatnonzero((t >= 0).all(1))
@@ -316,7 +325,10 @@ class Search:
         where, row2 = _spans(self.uses_first[j[row]], self.uses_n[j[row]])
         sent, offset = self.uses[where].T if len(where) else (none, none)
         p = p[row2]
-        doc = np.searchsorted(b.starts, p, side="right") - 1
+        doc = b.doc_of[p]
+        if possible is not None:
+            may = possible[self.own[sent], doc]
+            sent, offset, p, doc = sent[may], offset[may], p[may], doc[may]
         pad = int(self.size.max())
         start = p - offset - b.starts[doc] + pad
         wide = int(np.diff(b.starts).max()) + 2 * pad
@@ -374,8 +386,17 @@ class Search:
                 stand_terms.append(j)
             if w in self.number:
                 exact[self.number[w]] = j
-        sent, doc, start, middle = self._diagonals(b, exact)
         n_docs = len(b.docs)
+        terms, words = np.array(stand_terms, np.int64), np.array(stand_words, np.int64)
+        where, row = _spans(b.first[terms], b.counts[terms])
+        at = b.at[where]
+        here = possible = None
+        if len(self.number) * n_docs <= 1 << 28:  # which passage words stand in which document
+            here = np.zeros((len(self.number), n_docs), bool)
+            here[words[row], b.doc_of[at]] = True
+            if self.uses_of is not None:
+                possible = self.uses_of @ here.astype(np.float32) >= (self.share * self.total - 1e-3)[:, None]
+        sent, doc, start, middle = self._diagonals(b, exact, possible)
 
         def narrow(words: np.ndarray) -> None:
             nonlocal sent, doc, start, middle
@@ -385,18 +406,14 @@ class Search:
         narrow(self.size[sent])
         if not len(sent):
             return {}
-        terms, words = np.array(stand_terms, np.int64), np.array(stand_words, np.int64)
-        where, row = _spans(b.first[terms], b.counts[terms])
         span = b.starts[-1] + 1
-        stands = np.sort(words[row] * span + b.at[where])
+        stands = np.sort(words[row] * span + at)
         # words that stand anywhere in the document
         code, back = np.unique(sent * n_docs + doc, return_inverse=True)
         s, d = np.divmod(code, n_docs)
-        if len(self.number) * n_docs <= 1 << 28:
-            here = np.zeros(len(self.number) * n_docs, bool)
-            here[words[row] * n_docs + np.searchsorted(b.starts, b.at[where], side="right") - 1] = True
+        if here is not None:
             where, row = _spans(self.begins[s], self.size[s])
-            narrow(np.bincount(row, weights=here[self.flat[where] * n_docs + d[row]], minlength=len(s)).astype(np.int64)[back])
+            narrow(np.bincount(row, weights=here[self.flat[where], d[row]], minlength=len(s)).astype(np.int64)[back])
         else:
             narrow(self._known(stands, span, s, b.starts[d], b.starts[d + 1] - 2)[back])
         if not len(sent):

@@ -20,6 +20,8 @@ _AROUND = re.compile(r"https?://\S+|www\.\S+|\(?\bvia @\w+\)?|^\W*rt @\w+\W*|[@#
 WORD = re.compile(r"[぀-ヿ㐀-鿿가-힯]|[^\W_]+")
 #: Words in a segment; its similarity hash is one code block.
 SEGMENT = 9
+#: Words in a segment of a text of at most ``BRIEF`` words, besides.
+SHINGLE, BRIEF = 5, 20
 
 
 _END = re.compile(r"(?:…|\.\.\.)\W*$")
@@ -59,10 +61,12 @@ def _pack(sums: np.ndarray) -> np.ndarray:
 
 
 def codes(texts: list[list[str]]) -> tuple[list[int], list[list[int]]]:
-    """Per text: 64-bit similarity hash of all words (numbers and long words count double), and of its segments.
+    """Per text: 64-bit similarity hash of all words (numbers and long words count double), and its code blocks.
 
-    A segment is ``SEGMENT`` words in a row, so any such run of equal words gives two texts a common
-    code. A text of at most SEGMENT words has one code, that of all its words.
+    Blocks are similarity hashes of segments: ``SEGMENT`` words in a row, so any such run of equal
+    words gives two texts a common block. A text of at most ``BRIEF`` words also has those of
+    ``SHINGLE`` words in a row, and one of at most SEGMENT words those of all its words, and of all
+    but each one, so that one word exchanged, put in or left out leaves a common block.
     """
     sizes = np.array([len(t) for t in texts])
     if not sizes.sum():
@@ -75,18 +79,31 @@ def codes(texts: list[list[str]]) -> tuple[list[int], list[list[int]]]:
     totals = np.zeros((len(texts), 64), np.int16)
     totals[filled] = np.add.reduceat((m * heavy[:, None]).astype(np.int16), ends[:-1][filled], axis=0)
     whole = _pack(totals).tolist()
-    seg: list[int] = []
-    if len(m) >= SEGMENT:
-        sums = m[: len(m) - SEGMENT + 1].copy()
-        for k in range(1, SEGMENT):
-            sums += m[k : len(m) - SEGMENT + 1 + k]
-        seg = _pack(sums).tolist()
+    seg = _pack(_runs(m, SEGMENT)).tolist() if len(m) >= SEGMENT else []
     out = []
-    for k, (at, n) in enumerate(zip(ends.tolist(), sizes.tolist())):
-        out.append(list(set(seg[at : at + n - SEGMENT + 1])) if n > SEGMENT else [whole[k]] if n else [])
+    for at, n in zip(ends.tolist(), sizes.tolist()):
+        blocks = set(seg[at : at + n - SEGMENT + 1]) if n >= SEGMENT else set()
+        if n <= BRIEF:
+            own = m[at : at + n]
+            if n >= SHINGLE:
+                blocks.update(_pack(_runs(own, SHINGLE)).tolist())
+            if 0 < n <= SEGMENT:
+                bag = own.sum(0, dtype=np.int16)
+                blocks.update(_pack(bag[None]).tolist())
+                if n >= SHINGLE:  # of fewer words a single one is more than the share that may differ
+                    blocks.update(_pack(bag - own).tolist())
+        out.append(list(blocks))
     return whole, out
 
 
+def _runs(m: np.ndarray, size: int) -> np.ndarray:
+    """Sums of every ``size`` rows in a row."""
+    sums = m[: len(m) - size + 1].copy()
+    for k in range(1, size):
+        sums += m[k : len(m) - size + 1 + k]
+    return sums
+
+
 _NUMBER = re.compile(r"\d+(?:[.,!:]\d+)*")
 
 

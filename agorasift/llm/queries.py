@@ -80,6 +80,10 @@ def p4_report(spark: SparkSession, d: str) -> DataFrame:
     return cross_split.report(table(spark, d, "tweets"), table(spark, d, "split_assignments"))
 
 
+def p4_classes(spark: SparkSession, d: str) -> DataFrame:
+    return cross_split.classes(table(spark, d, "tweets"), table(spark, d, "split_assignments"))
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     groups, _ = grouped_split.author_groups(table(spark, d, "tweets"), table(spark, d, "users"))
     return groups.where("members > 1").select("author_id_hash", "group_key")
@@ -119,7 +123,7 @@ def p7_entities(spark: SparkSession, d: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        p1_found, p1_consistent_tags, p2_found, p2_item_agreement, p2_annotator_reliability, p3_found, p3_redacted, p4_found, p4_report, p5_found, p5_assignment, p6_found, p6_by_month,
+        p1_found, p1_consistent_tags, p2_found, p2_item_agreement, p2_annotator_reliability, p3_found, p3_redacted, p4_found, p4_report, p4_classes, p5_found, p5_assignment, p6_found, p6_by_month,
         p7_found, p7_entities, p8_windows, p8_fill, p9_found, p9_verbatim, p10_found,
     )
 }

@@ -201,10 +201,25 @@ def test_overlaps(spark):
     assert cross_split.found(tweets.limit(0), splits).count() == 0 and cross_split.found(tweets, splits.limit(0)).count() == 0
 
 
+def test_short_copies_are_found(spark):
+    pair = ("council votes tonight on the northern river levy plan", "council votes tonight on the northern bridge levy plan")
+    more = "so council votes tonight on the northern river levy plan"
+    rows = [("a", pair[0], "q"), ("b", pair[1], "q"), ("c", more, "q"), ("d", "council votes tonight on quite another thing again today", "q"), ("a2", pair[0], "p")]
+    tweets = spark.createDataFrame(rows, "tweet_id string, text_raw string, collection_query string")
+    splits = spark.createDataFrame([("a", "train"), ("a2", "train"), ("b", "test"), ("c", "test"), ("d", "test"), ("a2", "test")], "tweet_id string, split string")
+    brute = {(h, t) for h, x in (("b", pair[1]), ("c", more), ("d", rows[3][1]), ("a2", pair[0])) for t in ("a", "a2") if h != t and M.same_message(M.core(x)[0], M.core(pair[0])[0]) > 0}
+    assert {("b", "a"), ("c", "a"), ("a2", "a")} <= brute
+    assert {(r["held_id"], r["train_id"]) for r in cross_split.overlaps(tweets, splits).collect()} == brute
+    rep = {(r["split"], r["collection_query"]): (r["tweets"], r["leaked"], r["pairs"]) for r in cross_split.report(tweets, splits).collect()}
+    assert rep == {("test", "q"): (3, 2, 4), ("test", "p"): (1, 1, 1)}
+    got = {(r["tweet_id"], r["held"]): (r["cls"], r["links"]) for r in cross_split.classes(tweets, splits).collect()}
+    assert got["a", False][0] == got["a2", True][0] and got["a", False][1] == 2 and got["b", True][1] == 1 and got["d", True][1] == 0
+
+
 def test_hot_message_costs_few_blocks():
     words = [BASE.casefold().split()] * 3
     whole, blocks = M.codes([*words, [], ["one"]])
-    assert whole[0] == whole[1] and sorted(blocks[0]) == sorted(blocks[2]) and blocks[3] == [] and blocks[4] == [whole[4]]
+    assert whole[0] == whole[1] and sorted(blocks[0]) == sorted(blocks[2]) and blocks[3] == [] and len(blocks[4]) == 1
 
 
 # ---------------------------------------------------------------- names
