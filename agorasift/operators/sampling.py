@@ -6,6 +6,7 @@ Ranks within a hot class are taken in two steps where the wanted number is known
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -97,9 +98,20 @@ def split(df: DataFrame, id_col: str, ratios: tuple[float, float, float] = (0.8,
     return ranked.withColumn("split", F.when(F.col("_rank") <= train, "train").when(F.col("_rank") <= train + val, "validation").otherwise("test")).drop("_s", "_k", "_n", "_rank", "_b")
 
 
+#: Rows of one bucket, about, while ranks are taken.
+BUCKET_ROWS = 100_000
+
+
 def _ranked(rows: DataFrame, id_col: str) -> DataFrame:
-    """Rank in hash order within the stratum, in two steps: inside hash buckets and over bucket sizes."""
-    rows = rows.withColumn("_b", F.substring("_k", 1, 2))  # 256 buckets, in hash order
+    """Rank in hash order within the stratum, in two steps: inside hash buckets and over bucket sizes.
+
+    The number of buckets follows the number of rows, so one stratum of all rows spreads over as many tasks as it needs.
+    """
+    digits = 2
+    most = rows.count()
+    while most > BUCKET_ROWS * 16**digits:
+        digits += 1
+    rows = rows.withColumn("_b", F.substring("_k", 1, digits))  # in hash order
     sizes = rows.groupBy("_s", "_b").agg(F.count("*").alias("_c"))
     w = Window.partitionBy("_s").orderBy("_b")
     sizes = sizes.select(F.col("_s"), F.col("_b"), (F.sum("_c").over(w) - F.col("_c")).alias("_base"), F.sum("_c").over(Window.partitionBy("_s")).alias("_n"))
@@ -112,21 +124,35 @@ def sample(df: DataFrame, n: int, id_col: str, seed: int = 42) -> DataFrame:
     return df.orderBy(rank_key(seed, F.col(id_col)), id_col).limit(n)
 
 
+def input_order(df: DataFrame) -> Column:
+    """Place of a row in its input: file, then row of the file; rows that come from no file keep the order of their partitions."""
+    for place in ("_metadata.row_index", "_metadata.file_block_start"):
+        try:
+            df.select(place)
+        except AnalysisException:
+            continue
+        return F.struct(F.col("_metadata.file_path").alias("file"), F.col(place).alias("at"), F.monotonically_increasing_id().alias("n"))
+    return F.struct(F.lit("").alias("file"), F.lit(0).cast("long").alias("at"), F.monotonically_increasing_id().alias("n"))
+
+
 def merge(frames: list[DataFrame], id_col: str = "id", order: str | None = None) -> DataFrame:
-    """Union of at least two inputs by name, the first row per id in input order.
+    """Union of at least two inputs by name, the first row per id in the order of the inputs, then of ``order`` or of the rows.
 
-    Rows without the id column take a hash of their content; rows with a null id collapse to one.
+    Rows without the id column take a hash of their content; rows with a null id collapse to one. The
+    column ``order`` is compared as what it is; inputs that give it different types are an error.
     """
     if len(frames) < 2:
         raise ValueError("at least two inputs are needed")
+    if order and len({dict(df.dtypes)[order] for df in frames}) > 1:
+        raise ValueError(f"the inputs give {order} different types")
     parts = []
     for i, df in enumerate(frames):
         if id_col in df.columns:
             key = F.coalesce(F.col(id_col).cast("string"), F.lit("null"))
         else:
             key = F.sha2(F.to_json(F.struct(*sorted(df.columns))), 256)
-        at = F.col(order) if order else F.monotonically_increasing_id()
-        parts.append(df.withColumn("_key", key).withColumn("_order", F.struct(F.lit(i).alias("f"), at.cast("string").alias("o"))))
+        at = F.col(order) if order else input_order(df)
+        parts.append(df.select("*", key.alias("_key"), F.struct(F.lit(i).alias("f"), at.alias("o")).alias("_order")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p, allowMissingColumns=True)

@@ -94,8 +94,16 @@ def merge_by_id(s: SparkSession, d: str) -> DataFrame:
 
 
 def merge_by_content(s: SparkSession, d: str) -> DataFrame:
+    """Rows without an id, told apart by their content."""
     a = table(s, d, "documents").select("text", "lang")
-    return sampling.merge([a, a.withColumn("source", F.lit("again")).drop("source")], "none").groupBy("lang").agg(F.count("*").alias("n"))
+    return sampling.merge([a, a.where("lang = 'en'")], "none").select(F.md5("text").alias("text_md5"), "lang")
+
+
+def merge_input_order(s: SparkSession, d: str) -> DataFrame:
+    """English rows first, then all, each in the order of the file."""
+    t = table(s, d, "tweets")
+    keep = ("tweet_id", "collected_at", "author_id_hash")
+    return sampling.merge([t.where("lang = 'en'"), t], "tweet_id").select(*keep)
 
 
 def store_query(s: SparkSession, d: str) -> DataFrame:
@@ -211,7 +219,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         gold_majority, gold_weighted, gold_average, agreement, annotation_stats, annotations_by_annotator, class_histogram, by_class_undersample, by_class_lists, by_class_oversample, political_labels,
-        political_balance, split_random, split_stratified, sample_n, merge_by_id, merge_by_content, store_query, normalize_tweets, count_by_day, count_by_hour_events, latest_tweets, user_counters, user_stats,
+        political_balance, split_random, split_stratified, sample_n, merge_by_id, merge_by_content, merge_input_order, store_query, normalize_tweets, count_by_day, count_by_hour_events, latest_tweets, user_counters, user_stats,
         catalog_page, catalog_stats, catalog_lookup, metadata_fields, tweet_user_lookup, collection_counts, finance_candidates, finance_committees, finance_contributions, finance_by_name, finance_totals,
         retention_expired, deletion_requests, deletion_applied, stream_dedup,
     )
@@ -266,8 +274,10 @@ ORACLES: dict[str, str] = {
     "split_stratified": _split("coalesce(nullif(lang, ''), 'unknown')", 0.7, 0.15),
     "sample_n": f"SELECT doc_id FROM documents ORDER BY {_HASH.format('doc_id')}, doc_id LIMIT 50",
     "merge_by_id": "SELECT tweet_id, collected_at, author_id_hash FROM tweets QUALIFY row_number() OVER (PARTITION BY tweet_id ORDER BY collected_at) = 1",
-    "merge_by_content": "SELECT lang, count(*) AS n FROM (SELECT DISTINCT text, lang FROM documents) GROUP BY lang",
-    "store_query": "SELECT tweet_id, collected_at, created_at, political_score::DOUBLE AS political_score FROM tweets WHERE created_at >= '2024-03-01' AND created_at <= '2024-09-30' AND political_score >= 0.5 AND lang = 'en'",
+    "merge_by_content": "SELECT md5(text) AS text_md5, lang FROM (SELECT DISTINCT text, lang FROM documents)",
+    "merge_input_order": """WITH t AS (SELECT *, row_number() OVER () AS place FROM tweets), u AS (SELECT *, 0 AS f FROM t WHERE lang = 'en' UNION ALL SELECT *, 1 AS f FROM t)
+      SELECT tweet_id, collected_at, author_id_hash FROM u QUALIFY row_number() OVER (PARTITION BY tweet_id ORDER BY f, place) = 1""",
+    "store_query": "SELECT tweet_id, collected_at, created_at, political_score::DOUBLE AS political_score FROM tweets WHERE created_at >= '2024-03-01' AND created_at <= '2024-09-30' AND political_score >= 0.5 AND NOT isnan(political_score) AND lang = 'en'",
     "normalize_tweets": "SELECT tweet_id, collected_at, created_at, lang, false AS is_reply, like_count, 'all' AS collection_query, 0 AS tags FROM tweets",
     "count_by_day": "SELECT strftime(created_at, '%Y-%m-%d') AS day, count(*) AS n FROM tweets WHERE created_at IS NOT NULL GROUP BY 1",
     "count_by_hour_events": "SELECT date_trunc('hour', ts) AS hour, event_type, count(*) AS n FROM events GROUP BY ALL",

@@ -25,6 +25,7 @@ def local_session(cores: int | str = "*", app: str = "agorasift", **conf: str) -
         .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
@@ -36,7 +37,8 @@ def local_session(cores: int | str = "*", app: str = "agorasift", **conf: str) -
 def checkpoint_dir(spark: SparkSession) -> str:
     """The reliable checkpoint folder: the one the session names, a temporary one only if none is named.
 
-    A cluster sets ``spark.checkpoint.dir`` to a folder that all executors share.
+    A cluster sets ``spark.checkpoint.dir`` to a folder that all executors share; without it only a
+    local session works, whose temporary folder goes when Python ends.
     """
     sc = spark.sparkContext
     current = sc._jsc.sc().getCheckpointDir()
@@ -44,6 +46,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current.get()
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         named = tempfile.mkdtemp(prefix="agorasift-checkpoint-")
         atexit.register(shutil.rmtree, named, True)
     sc.setCheckpointDir(named)

@@ -115,10 +115,10 @@ class TweetStore:
 
 
 def query_tweets(df: DataFrame, query: str | None = None, start: object = None, end: object = None, min_score: float | None = None, lang: str | None = None, limit: int | None = None) -> DataFrame:
-    """Conjunction of the filters given (falsy ones are skipped, both ends of the time range belong to it); nulls never match."""
+    """Conjunction of the filters given (falsy ones are skipped, both ends of the time range belong to it); nulls and NaN never match."""
     conditions = [
         (query, lambda v: F.col("collection_query") == v), (start, lambda v: F.col("created_at") >= F.lit(v)), (end, lambda v: F.col("created_at") <= F.lit(v)),
-        (min_score, lambda v: F.col("political_score") >= v), (lang, lambda v: F.col("lang") == v),
+        (min_score, lambda v: (F.col("political_score") >= v) & ~F.isnan("political_score")), (lang, lambda v: F.col("lang") == v),
     ]
     for value, condition in conditions:
         if value:
