@@ -11,6 +11,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -27,12 +28,13 @@ GRAMS = 0.4
 SURE = 0.6
 
 
-_PARSED = T.StructType().add("words", T.ArrayType(T.StringType())).add("initials", T.ArrayType(T.StringType())).add("suffix", "string").add("org", "boolean")
+_PARSED = T.StructType().add("words", T.ArrayType(T.StringType())).add("initials", T.ArrayType(T.StringType())).add("suffix", "string").add("org", "boolean").add("family", T.ArrayType(T.StringType()))
 
 
 @F.pandas_udf(_PARSED)
 def _parsed(s: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([N.parse(x or "") for x in s], columns=["words", "initials", "suffix", "org"])
+    rows = [N.parse(x or "") for x in s]
+    return pd.DataFrame([(*r, [] if r[3] else N.families(r[0])) for r in rows], columns=["words", "initials", "suffix", "org", "family"])
 
 
 def _place(c: Column) -> Column:
@@ -41,7 +43,7 @@ def _place(c: Column) -> Column:
 
 
 def classes_of(contributions: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(members ``contribution_id, name, cls``; classes ``cls, city, state, words, initials, suffix, org``); ``cls`` is a number."""
+    """(members ``contribution_id, name, cls``; classes ``cls, city, state, words, initials, suffix, org, family``); ``cls`` is a number."""
     rows = contributions.where("contribution_id is not null and contributor_name is not null").select(
         "contribution_id", F.col("contributor_name").alias("name"), _place(F.col("contributor_city")).alias("city"), _place(F.col("contributor_state")).alias("state")
     ).distinct()
@@ -49,8 +51,8 @@ def classes_of(contributions: DataFrame) -> tuple[DataFrame, DataFrame]:
     form = F.concat_ws("|", F.array_join("words", " "), F.array_join("initials", ""), "suffix", F.col("org").cast("string"))
     spelt = cut(spelt.withColumn("form", form))
     key = F.concat_ws("\x1f", "form", F.coalesce("city", F.lit("?")), F.coalesce("state", F.lit("?")))
-    members = cut(rows.join(spelt, "name").select("contribution_id", "name", key.alias("key"), "city", "state", "words", "initials", "suffix", "org"))
-    parts = ["city", "state", "words", "initials", "suffix", "org"]
+    members = cut(rows.join(spelt, "name").select("contribution_id", "name", key.alias("key"), "city", "state", "words", "initials", "suffix", "org", "family"))
+    parts = ["city", "state", "words", "initials", "suffix", "org", "family"]
     one = members.groupBy("key").agg(F.first(F.struct(*parts)).alias("c"))  # equal for equal keys
     cls = cut(one.select("key", "c.*").withColumn("cls", F.monotonically_increasing_id()))  # numbers stay as they are once stored
     return members.join(cls.select("key", "cls"), "key").select("contribution_id", "name", "cls"), cls.drop("key")
@@ -70,13 +72,13 @@ def _grams(w: Column) -> Column:
     return F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(padded) - 1), lambda i: F.substring(padded, i, 2)))
 
 
-def similar_words(left: DataFrame, right: DataFrame) -> DataFrame:
-    """``k, wa, wb``: similar words of ``left`` and ``right`` (both ``k, w``) inside one ``k``; wa = wb included.
+def similar_words(words: DataFrame) -> DataFrame:
+    """``k, wa, wb``: similar words inside one ``k`` of ``words`` (distinct ``k, w, asks``), wa being one that asks; wa = wb included.
 
     Prefix filter: two sets of 2-grams with a Jaccard similarity of at least ``GRAMS`` share one of
     their first |s| - ceil(GRAMS |s|) + 1 grams in one common order, rare grams first.
     """
-    both = left.unionByName(right).select("w").distinct().select("w", _grams(F.col("w")).alias("g"))
+    both = words.select("w").distinct().select("w", _grams(F.col("w")).alias("g"))
     freq = both.select(F.explode("g").alias("x")).groupBy("x").agg(F.count("*").alias("n"))
     ordered = (
         both.select("w", F.explode("g").alias("x")).join(freq, "x").groupBy("w").agg(F.array_sort(F.collect_list(F.struct("n", "x"))).alias("o"))
@@ -84,26 +86,62 @@ def similar_words(left: DataFrame, right: DataFrame) -> DataFrame:
     )
     size = F.size("o")
     prefix = cut(ordered.select("w", F.explode(F.slice("o", F.lit(1), size - F.ceil(size * GRAMS).cast("int") + 1)).alias("x")))
-    a = left.join(prefix, "w").select("k", "x", F.col("w").alias("wa"))
-    b = right.join(prefix, "w").select("k", "x", F.col("w").alias("wb"))
+    every = words.join(prefix, "w")
+    a, b = every.where("asks").select("k", "x", F.col("w").alias("wa")), every.select("k", "x", F.col("w").alias("wb"))
     near = a.join(b, ["k", "x"]).where("wa <> wb and abs(length(wa) - length(wb)) <= 2").select("k", "wa", "wb")
     lev = F.levenshtein("wa", "wb", 2)
     letters = lambda c: F.array_sort(F.split(c, ""))
     close = (lev == 1) | ((lev == 2) & ((letters("wa") == letters("wb")) | (F.least(F.length("wa"), F.length("wb")) >= 9)))
-    same = left.select("k", F.col("w").alias("wa")).join(right.select("k", F.col("w").alias("wa")), ["k", "wa"], "left_semi").withColumn("wb", F.col("wa"))
+    same = words.where("asks").select("k", F.col("w").alias("wa"), F.col("w").alias("wb"))
     return near.where(close).distinct().unionByName(same)
 
 
+def _near(x: Column, y: Column) -> Column:
+    """Whatever :func:`names.typo` takes for slips, and a little more."""
+    return (x == y) | (F.levenshtein(x, y, 4) <= F.when(F.least(F.length(x), F.length(y)) >= 9, 4).otherwise(2)) & (F.levenshtein(x, y, 4) >= 0)
+
+
+def may_agree(a: str, b: str) -> Column:
+    """What :func:`names.compare` asks of the forms in columns ``a`` and ``b`` in any case.
+
+    All words of organisations must be near; persons of two words and more need a second word that is
+    near, or a given name of one family, or one near a formal name.
+    """
+    f = lambda s, x: F.col(s)[x]
+    met = F.size(F.filter(f(a, "words"), lambda x: F.exists(f(b, "words"), lambda y: _near(x, y))))
+    wide_a, wide_b = (F.concat(f(s, "words"), f(s, "family")) for s in (a, b))
+    long = lambda c: F.filter(c, lambda x: F.length(x) > 4)
+    formal = F.arrays_overlap(f(a, "family"), f(b, "family")) | F.exists(long(wide_a), lambda x: F.exists(F.filter(long(f(b, "family")), lambda y: y != x), lambda y: _near(x, y)))
+    formal |= F.exists(long(wide_b), lambda x: F.exists(F.filter(long(f(a, "family")), lambda y: y != x), lambda y: _near(x, y)))
+    short = F.least(F.size(f(a, "words")), F.size(f(b, "words"))) < 2
+    same = (f(a, "org") == f(b, "org")) & (f(a, "suffix") == f(b, "suffix"))
+    whole = (F.size(f(a, "words")) == F.size(f(b, "words"))) & (met == F.size(f(a, "words")))
+    return same & F.when(f(a, "org"), whole).otherwise(short | (met >= 2) | formal)
+
+
 _OUT = T.StructType().add("a", "long").add("b", "long").add("k", "string").add("weak", "boolean")
 
 
+@lru_cache(maxsize=100_000)
+def _form(text: str) -> tuple[tuple, dict[str, float]]:
+    """(parsed name, weights of its words) from the text that :func:`_told` makes."""
+    words, initials, suffix, org = text.split("|")
+    pairs = [w.split(":") for w in words.split()]
+    return ([w for w, _ in pairs], list(initials), suffix, org == "true"), {w: float(x) for w, x in pairs}
+
+
+def _told() -> Column:
+    """Words with weights, initials, suffix and kind of a name as one text, which Python reads once per name."""
+    words = F.array_join(F.transform("g", lambda e: F.concat_ws(":", e["w"], F.round(e["weight"], 5).cast("string"))), " ")
+    return F.concat_ws("|", words, F.array_join("initials", ""), "suffix", F.col("org").cast("string"))
+
+
 def _verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         keep = []
-        for a, b, k, fa, fb in zip(pdf["a"], pdf["b"], pdf["k"], pdf["fa"], pdf["fb"]):
-            pa = (list(fa["words"]), list(fa["initials"]), fa["suffix"], fa["org"])
-            pb = (list(fb["words"]), list(fb["initials"]), fb["suffix"], fb["org"])
-            weight = dict(zip(pa[0], fa["weights"])) | dict(zip(pb[0], fb["weights"]))
+        for a, b, k, ta, tb in zip(pdf["a"], pdf["b"], pdf["k"], pdf["ta"], pdf["tb"]):
+            (pa, wa), (pb, wb) = _form(ta), _form(tb)
+            weight = wa | wb
             keys = {(x, y) for x in pa[0] for y in pb[0] if len(x) >= 2 and (x == y or N.typo(x, y))}
             weak = [w for score, w in (N.compare(pa, pb, x, y, weight) for x, y in sorted(keys)) if score >= SURE]
             if weak:  # a given name as key hides that it is an ambiguous short form
@@ -151,31 +189,30 @@ def place_components(links: DataFrame, hot_links: int = HOT_LINKS) -> DataFrame:
 def linked_classes(cls: DataFrame, hot_links: int = HOT_LINKS) -> DataFrame:
     """``node, root`` for every class that is linked to another."""
     key, df = key_words(cls)
-    place = cls.select("cls", "city", "state").join(key, "cls")
+    place = cls.select("cls", "city", "state", "org", "suffix").join(key, "cls")
     full = F.col("city").isNotNull() & F.col("state").isNotNull()
     own = F.when(full, F.concat_ws("|", F.lit("cs"), "city", "state")).when(F.col("city").isNotNull(), F.concat_ws("|", F.lit("c"), "city")).when(F.col("state").isNotNull(), F.concat_ws("|", F.lit("s"), "state")).otherwise("*")
-    left = cut(place.select("cls", "w", own.alias("k"), (~full).alias("loose"), "city", "state"))
+    left = cut(place.select("cls", "w", own.alias("k"), (~full).alias("loose"), "city", "state", "org", "suffix"))
     # a class answers to its full place, and to places known in part
     every = F.array(F.when(full, F.concat_ws("|", F.lit("cs"), "city", "state")), F.when(F.col("city").isNotNull(), F.concat_ws("|", F.lit("c"), "city")), F.when(F.col("state").isNotNull(), F.concat_ws("|", F.lit("s"), "state")), F.lit("*"))
     asked = left.where("loose").select("k").distinct()
-    wide = left.select("cls", "w", F.explode(every).alias("k")).where("k is not null")
+    wide = left.select("cls", "w", F.explode(every).alias("k"), F.col("k").alias("own"), "org", "suffix").where("k is not null")
     right = cut(wide.where("k like 'cs|%'").unionByName(wide.where("k not like 'cs|%'").join(asked, "k", "left_semi")))
-    alike = similar_words(left.select("k", "w").distinct(), right.select("k", "w").distinct())
+    alike = similar_words(cut(right.groupBy("k", "w").agg(F.max(F.col("k") == F.col("own")).alias("asks"))))
     # a class's words and their weights
-    weights = cls.select("cls", F.posexplode("words").alias("i", "w")).join(df, "w").groupBy("cls").agg(F.array_sort(F.collect_list(F.struct("i", "weight"))).alias("g"))
-    form = cut(cls.join(weights, "cls").select("cls", F.struct("words", "initials", "suffix", "org", F.transform("g", lambda e: e["weight"]).alias("weights")).alias("f")))
+    weights = cls.select("cls", F.posexplode("words").alias("i", "w")).join(df, "w").groupBy("cls").agg(F.array_sort(F.collect_list(F.struct("i", "w", "weight"))).alias("g"))
+    form = cut(cls.join(weights, "cls").select("cls", F.struct("words", "suffix", "org", "family").alias("f"), _told().alias("t")))
     pairs = (
-        alike.join(left.select("k", F.col("w").alias("wa"), F.col("cls").alias("a"), "loose"), ["k", "wa"])
-        .join(right.select("k", F.col("w").alias("wb"), F.col("cls").alias("b")), ["k", "wb"])
-        .where("a <> b").where(F.col("loose") | (F.col("a") < F.col("b")))
+        alike.join(left.select("k", F.col("w").alias("wa"), F.col("cls").alias("a"), "loose", F.col("org").alias("oa"), F.col("suffix").alias("sa")), ["k", "wa"])
+        .join(right.select("k", F.col("w").alias("wb"), F.col("cls").alias("b"), F.col("org").alias("ob"), F.col("suffix").alias("sb")), ["k", "wb"])
+        .where("a <> b and oa = ob and sa = sb").where(F.col("loose") | (F.col("a") < F.col("b")))
         .select("a", "b", "k").distinct()
     )
     pairs = (
-        pairs.join(form.select(F.col("cls").alias("a"), F.col("f").alias("fa")), "a")
-        .join(form.select(F.col("cls").alias("b"), F.col("f").alias("fb")), "b")
-        # what compare() asks of any pair first
-        .where("fa.org = fb.org and fa.suffix = fb.suffix and (not fa.org or size(fa.words) = size(fb.words))")
-        .select("a", "b", "k", "fa", "fb")
+        pairs.join(form.select(F.col("cls").alias("a"), F.col("f").alias("fa"), F.col("t").alias("ta")), "a")
+        .join(form.select(F.col("cls").alias("b"), F.col("f").alias("fb"), F.col("t").alias("tb")), "b")
+        .where(may_agree("fa", "fb"))
+        .select("a", "b", "k", "ta", "tb")
     )
     links = pairs.mapInPandas(_verify, _OUT)
     several = sorted(w for w, formal in N.FORMALS.items() if len(formal) > 1 and w not in N.SHORT_FORMS)

@@ -59,6 +59,11 @@ def parse(name: str) -> tuple[list[str], list[str], str, bool]:
     return sorted(long), initials, suffix, org
 
 
+def families(words: list[str]) -> list[str]:
+    """The formal names that the words are or stand for."""
+    return sorted({f for w in words for f in FORMALS.get(w, frozenset()) | ({w} & SHORT_FORMS.keys())})
+
+
 def distance(a: str, b: str, most: int = 2) -> int:
     """Edit distance with transpositions of neighbours, cut off above ``most``."""
     if a == b:

@@ -264,6 +264,25 @@ def test_common_surnames_are_linked(spark):
     assert got == {("1", "2"), ("3", "4")}
 
 
+def test_may_agree_drops_no_pair(spark):
+    names = ["Nicholas Saldnehope", "Nick Saldnehope", "SALDNEHOPE, N.", "Nichoals Saldnehope", "Pamela Saldnehope", "Jonathon Ilkvipage", "Jon Ilkvipage", "Ted Kolb", "Theodore Kolb", "Ed Kolb", "Kolb, T", "Kolb Seed Co", "Kolb Sedd Company", "Kolb Print Co", "Philippa Ilk Jr", "Philippa Ilk Sr", "Mary Ann Kolb", "Ann Kolb", "Katherine Kolb", "Catherin Kolb", "Kate Kolb"]
+    forms = [N.parse(n) for n in names]
+    rows = [(i, j, (*x, N.families(x[0])), (*y, N.families(y[0]))) for i, x in enumerate(forms) for j, y in enumerate(forms) if i != j]
+    kind = "struct<words:array<string>,initials:array<string>,suffix:string,org:boolean,family:array<string>>"
+    kept = {(r["a"], r["b"]) for r in spark.createDataFrame(rows, f"a int, b int, fa {kind}, fb {kind}").where(name_links.may_agree("fa", "fb")).collect()}
+    for i, j, x, y in rows:
+        keys = [(v, w) for v in x[0] for w in y[0] if v == w or N.typo(v, w)]
+        if any(N.compare(x[:4], y[:4], v, w, {})[0] >= name_links.SURE for v, w in keys):
+            assert (i, j) in kept, (names[i], names[j])
+    assert len(kept) < len(rows) / 2
+
+
+def test_a_hot_place_is_contracted_by_joins(spark):
+    links = spark.createDataFrame([(i, i + 1, "hot") for i in range(30)] + [(100, 101, "x"), (102, 101, "x"), (200, 201, "y")], "a long, b long, k string")
+    cold, hot = ({(r["node"], r["root"]) for r in name_links.place_components(links, n).collect()} for n in (1000, 5))
+    assert cold == hot == {(i, 0) for i in range(31)} | {(i, 100) for i in (100, 101, 102)} | {(200, 200), (201, 200)}
+
+
 def test_similar_words_like_brute_force(spark):
     rnd = random.Random(2)
     base = ["macksoland", "holbrishire", "gantdastrom", "seed", "kolb", "penntofell"]
@@ -272,7 +291,7 @@ def test_similar_words_like_brute_force(spark):
         for _ in range(4):
             i = rnd.randrange(len(w) - 1)
             words |= {w[:i] + w[i + 1 :], w[:i] + w[i + 1] + w[i] + w[i + 2 :], w[:i] + "x" + w[i + 1 :]}
-    df = spark.createDataFrame([("k", w) for w in words if len(w) > 6], "k string, w string")
-    got = {(r["wa"], r["wb"]) for r in name_links.similar_words(df, df).collect()}
+    df = spark.createDataFrame([("k", w, True) for w in words if len(w) > 6], "k string, w string, asks boolean")
+    got = {(r["wa"], r["wb"]) for r in name_links.similar_words(df).collect()}
     lost = {(a, b) for a in words for b in words if len(a) > 6 and len(b) > 6 and a != b and N.distance(a, b, 1) <= 1} - got
     assert not lost
