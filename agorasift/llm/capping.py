@@ -7,7 +7,8 @@ the others. Inside a stratum the records of best quality stay.
 
 Only the ranked candidates meet in one place: the records are first ranked inside
 (contributor, stratum, salt), where at most ``cap`` of each salt can still be kept, so the second
-ranking sees at most ``cap * SALTS`` rows of a contributor's stratum, however dominant it is.
+ranking sees at most ``cap * SALTS`` rows of a contributor's stratum, however dominant it is. A
+share alone has no such bound; ranks are then taken inside ranges of the order and summed up.
 """
 
 from __future__ import annotations
@@ -15,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from agorasift.functions.ranks import ranked
+
 #: Parts into which a contributor's stratum is cut for the first ranking.
 SALTS = 64
 
@@ -97,8 +100,7 @@ def cap_contributors(
         bound = F.least(bound, F.col("by_share"))
     slots = apportion(counts, bound, weighting)
     best = [F.when(_valid(F.col("q")), 1).otherwise(0).desc(), F.when(_valid(F.col("q")), F.col("q")).desc(), F.col("i").asc()]
-    key = owned
-    if cap is not None:  # with a share alone there is no bound on what one salt may keep
+    if cap is not None:
         first = Window.partitionBy("c", "s", "_salt").orderBy(*best)
         key = (
             owned.withColumn("_salt", F.pmod(F.xxhash64("i"), F.lit(SALTS)))
@@ -106,9 +108,11 @@ def cap_contributors(
             .where(F.col("_r") <= cap)
             .drop("_r", "_salt")
         )
-    ranked = key.withColumn("place", F.row_number().over(Window.partitionBy("c", "s").orderBy(*best)))
+        key = key.withColumn("place", F.row_number().over(Window.partitionBy("c", "s").orderBy(*best)))
+    else:
+        key = ranked(owned, ["c", "s"], best, "place").withColumn("place", F.col("place").cast("int"))
     kept = (
-        ranked.join(slots.select(F.col("c").alias("c2"), F.col("s").alias("s2"), "slots"), (F.col("c") == F.col("c2")) & F.col("s").eqNullSafe(F.col("s2")))
+        key.join(slots.select(F.col("c").alias("c2"), F.col("s").alias("s2"), "slots"), (F.col("c") == F.col("c2")) & F.col("s").eqNullSafe(F.col("s2")))
         .where(F.col("place") <= F.col("slots"))
         .select("i", "c", "q", "s", "place")
     )

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from agorasift.functions.joins import join_hot
 from agorasift.session import cut
 
 
@@ -29,8 +30,9 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> tuple[DataFrame,
     work = cut(base.select(F.col("a").alias("u"), F.col("b").alias("v"), "a", "b"))
     nodes = work.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     label = nodes.withColumn("root", F.col("node"))
+    n_nodes = 0  # at most two ends an edge
     forest = work.select("a", "b").where(F.lit(False))
-    while not work.isEmpty():
+    while (n := work.count()) > 0:
         ends = work.select("u", "v", "a", "b").unionByName(work.select(F.col("v").alias("u"), F.col("u").alias("v"), "a", "b"))
         # the smallest edge that leaves each component; one total order of edges, so picks form no ring but 2-rings
         picks = ends.groupBy("u").agg(F.min(F.struct("a", "b", "v")).alias("e")).select("u", F.col("e.v").alias("v"), F.col("e.a").alias("a"), F.col("e.b").alias("b"))
@@ -43,20 +45,20 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> tuple[DataFrame,
         )
         while True:  # pointer jumping: the depth halves each time
             up = hook.select(F.col("u").alias("p"), F.col("p").alias("_pp"))
-            jumped = cut(hook.join(up, "p").select("u", F.col("_pp").alias("p"), (F.col("_pp") != F.col("p")).alias("_moved")))
+            jumped = cut(join_hot(hook, up, "p", F.col("u"), rows=2 * n).select("u", F.col("_pp").alias("p"), (F.col("_pp") != F.col("p")).alias("_moved")))
             hook = jumped.select("u", "p")
             if jumped.where("_moved").isEmpty():
                 break
         new = hook.select(F.col("u").alias("root"), F.col("p").alias("_new"))
-        label = cut(label.join(new, "root", "left").select("node", F.coalesce("_new", "root").alias("root")))
+        n_nodes = n_nodes or 2 * n
+        label = cut(join_hot(label, new, "root", F.col("node"), "left", n_nodes).select("node", F.coalesce("_new", "root").alias("root")))
         left, right = hook.select("u", F.col("p").alias("_pu")), hook.select(F.col("u").alias("v"), F.col("p").alias("_pv"))
         work = cut(
-            work.join(left, "u")
-            .join(right, "v")
+            join_hot(join_hot(work, left, "u", F.struct("a", "b"), rows=n), right, "v", F.struct("a", "b"), rows=n)
             .where(F.col("_pu") != F.col("_pv"))
             .groupBy(F.least("_pu", "_pv").alias("u"), F.greatest("_pu", "_pv").alias("v"))
             .agg(F.min(F.struct("a", "b")).alias("e"))
             .select("u", "v", F.col("e.a").alias("a"), F.col("e.b").alias("b"))
         )
     least = label.groupBy("root").agg(F.min("node").alias("_least"))
-    return label.join(least, "root").select("node", F.col("_least").alias("root")), forest
+    return join_hot(label, least, "root", F.col("node"), rows=n_nodes).select("node", F.col("_least").alias("root")), forest

@@ -13,13 +13,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from agorasift.functions.joins import join_hot
 from agorasift.llm.components import components
 
 #: Values of ``operator`` that name nobody.
 PLACEHOLDERS = ("", "unknown", "none", "n/a", "na", "null", "self", "-", "?", "other", "tbd", "nil", "undefined", "anonymous")
 #: A group with more than this share of all records is dealt on its own; there are at most 1000 such groups.
 LARGE_SHARE = 0.001
-BUCKETS = 256
+#: Groups of one bucket, about, while running totals are built.
+BUCKET_GROUPS = 50_000
 
 
 def _operator(meta: Column, path: str) -> Column:
@@ -38,7 +40,7 @@ def author_edges(tweets: DataFrame, users: DataFrame) -> DataFrame:
     shared = rows.groupBy("tweet_id").agg(F.min(code).alias("lo"), F.max(code).alias("hi")).where("lo <> hi").select("tweet_id")
     both = rows.join(shared, "tweet_id", "left_semi").distinct()
     least = both.groupBy("tweet_id").agg(F.min("author").alias("a"))
-    by_tweet = both.join(least, "tweet_id").select("a", F.col("author").alias("b"))
+    by_tweet = join_hot(both, least, "tweet_id", F.col("author")).select("a", F.col("author").alias("b"))
 
     meta = F.col("metadata")
     u = users.where("user_id_hash is not null and metadata is not null").select(F.col("user_id_hash").alias("a"), "metadata")
@@ -55,7 +57,7 @@ def author_groups(tweets: DataFrame, users: DataFrame) -> tuple[DataFrame, DataF
     present = tweets.select(F.col("author_id_hash").alias("node")).where("node is not null").distinct()
     tied = labels.join(present, "node", "left_semi")
     keys = tied.groupBy("root").agg(F.min("node").alias("group_key"), F.count("*").alias("members"))
-    return tied.join(keys, "root").select(F.col("node").alias("author_id_hash"), "group_key", "members"), forest
+    return join_hot(tied, keys, "root", F.col("node")).select(F.col("node").alias("author_id_hash"), "group_key", "members"), forest
 
 
 def deal(groups: DataFrame, proportions: dict[str, float]) -> DataFrame:
@@ -65,7 +67,8 @@ def deal(groups: DataFrame, proportions: dict[str, float]) -> DataFrame:
     totals of the others are built in two steps, inside hash buckets and over bucket totals.
     """
     spark, names = groups.sparkSession, list(proportions)
-    total = groups.agg(F.sum("n")).first()[0] or 0
+    sums = groups.agg(F.sum("n").alias("n"), F.count("*").alias("groups")).first()
+    total, buckets = sums["n"] or 0, 256 + sums["groups"] // BUCKET_GROUPS
     whole = sum(proportions.values())
     room = {s: total * p / whole for s, p in proportions.items()}
     large = groups.where(F.col("n") > total * LARGE_SHARE).orderBy(F.col("n").desc(), "g").collect()  # at most 1 / LARGE_SHARE rows
@@ -81,9 +84,9 @@ def deal(groups: DataFrame, proportions: dict[str, float]) -> DataFrame:
         groups.where(F.col("n") <= total * LARGE_SHARE)
         .withColumn("band", F.floor(F.log2(F.greatest(F.col("n"), F.lit(1)))))
         .withColumn("h", F.xxhash64("g"))
-        .withColumn("bucket", F.pmod(F.shiftright("h", 3), F.lit(BUCKETS)))
+        .withColumn("bucket", F.pmod(F.shiftright("h", 3), F.lit(buckets)))
     )
-    sums = small.groupBy("band", "bucket").agg(F.sum("n").alias("t"))  # at most 64 bands x BUCKETS rows
+    sums = small.groupBy("band", "bucket").agg(F.sum("n").alias("t"))  # at most one row per 64 bands and bucket
     w = Window.partitionBy("band").orderBy("bucket")
     sums = sums.select("band", "bucket", (F.sum("t").over(w) - F.col("t")).alias("base"), F.sum("t").over(Window.partitionBy("band")).alias("band_total"))
     inside = Window.partitionBy("band", "bucket").orderBy("h", "g")
@@ -96,18 +99,23 @@ def deal(groups: DataFrame, proportions: dict[str, float]) -> DataFrame:
     return first.unionByName(dealt)
 
 
-def split_together(tweets: DataFrame, users: DataFrame, proportions: dict[str, float] | None = None) -> DataFrame:
+def split_together(tweets: DataFrame, users: DataFrame, proportions: dict[str, float] | None = None, forest_path: str | None = None) -> DataFrame:
     """``tweet_id, split, group_key``, one row per tweet_id; related tweets share a split.
 
+    The spanning forest (``a, b``: the ties that hold the groups together) is written to
+    ``forest_path`` as Parquet, where one is given; it tells why two authors share a split.
+
     A tweet of an untied author forms a group with that author's other tweets; tweets without any
     author are groups of their own. Rows without tweet_id are dropped; repeated rows count once.
     """
-    groups, _ = author_groups(tweets, users)
+    groups, forest = author_groups(tweets, users)
+    if forest_path:
+        forest.write.mode("overwrite").parquet(forest_path)
     # every author of one tweet_id is in one group, so any of them serves
     one = tweets.where("tweet_id is not null").groupBy("tweet_id").agg(F.min("author_id_hash").alias("author_id_hash"))
-    keyed = one.join(groups.select("author_id_hash", "group_key"), "author_id_hash", "left").select(
+    keyed = join_hot(one, groups.select("author_id_hash", "group_key"), "author_id_hash", F.col("tweet_id"), "left").select(
         "tweet_id", F.coalesce("group_key", "author_id_hash", F.concat(F.lit("tweet:"), "tweet_id")).alias("g")
     )
     sizes = keyed.groupBy("g").agg(F.count("*").alias("n"))
     assigned = deal(sizes, proportions or {"train": 0.8, "validation": 0.1, "test": 0.1})
-    return keyed.join(assigned, "g").select("tweet_id", "split", F.col("g").alias("group_key"))
+    return join_hot(keyed, assigned, "g", F.col("tweet_id")).select("tweet_id", "split", F.col("g").alias("group_key"))

@@ -19,6 +19,10 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return visible_text.found(table(spark, d, "tweets"))
 
 
+def p1_forms(spark: SparkSession, d: str) -> DataFrame:
+    return visible_text.classes(table(spark, d, "tweets"))
+
+
 def p1_consistent_tags(spark: SparkSession, d: str) -> DataFrame:
     return visible_text.consistent_tags(table(spark, d, "tweets"))
 
@@ -93,6 +97,11 @@ def p5_assignment(spark: SparkSession, d: str) -> DataFrame:
     return grouped_split.split_together(table(spark, d, "tweets"), table(spark, d, "users"))
 
 
+def p5_forest(spark: SparkSession, d: str) -> DataFrame:
+    """The ties that hold the groups together: a spanning forest of authors, accounts and operators."""
+    return grouped_split.author_groups(table(spark, d, "tweets"), table(spark, d, "users"))[1]
+
+
 def _latest(spark: SparkSession, d: str) -> DataFrame:
     return capping.latest_rows(table(spark, d, "tweets"), "tweet_id", "collected_at", ["author_id_hash", "political_score", "created_at"])
 
@@ -123,7 +132,7 @@ def p7_entities(spark: SparkSession, d: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        p1_found, p1_consistent_tags, p2_found, p2_item_agreement, p2_annotator_reliability, p3_found, p3_redacted, p4_found, p4_report, p4_classes, p5_found, p5_assignment, p6_found, p6_by_month,
+        p1_found, p1_forms, p1_consistent_tags, p2_found, p2_item_agreement, p2_annotator_reliability, p3_found, p3_redacted, p4_found, p4_report, p4_classes, p5_found, p5_assignment, p5_forest, p6_found, p6_by_month,
         p7_found, p7_entities, p8_windows, p8_fill, p9_found, p9_verbatim, p10_found,
     )
 }

@@ -200,6 +200,17 @@ def found(tweets: DataFrame) -> DataFrame:
     return a.unionByName(b)
 
 
+def classes(tweets: DataFrame) -> DataFrame:
+    """``tweet_id, form_md5, changed``: every distinct text of a tweet with the class of texts that look like it, named by its consistent form.
+
+    Two texts look the same if and only if their ``form_md5`` are equal; no pair is written out. Null ids and texts give no row.
+    """
+    rows = tweets.where("tweet_id is not null and text_raw is not null").select("tweet_id", "text_raw")
+    table = lookalike_table(alphabet_counts(rows, "text_raw"))
+    forms = rewrite(rows, "text_raw", "form", table)
+    return forms.select("tweet_id", F.md5("form").alias("form_md5"), (F.col("form") != F.col("text_raw")).alias("changed")).distinct()
+
+
 def consistent_tags(tweets: DataFrame) -> DataFrame:
     """``tag, spellings, uses``: every visible hashtag in its consistent form."""
     tags = tweets.select(F.explode("hashtags").alias("tag")).where("tag is not null").groupBy("tag").agg(F.count("*").alias("n"))

@@ -277,6 +277,17 @@ def test_may_agree_drops_no_pair(spark):
     assert len(kept) < len(rows) / 2
 
 
+def test_a_hub_and_a_chain(spark, monkeypatch):
+    from agorasift.functions import joins
+
+    monkeypatch.setattr(joins, "HOT_ROWS", 20)
+    edges = [("hub", f"leaf{i}") for i in range(60)] + [(f"c{i:02}", f"c{i + 1:02}") for i in range(12)] + [("c03", "c03"), (None, "x"), ("hub", "leaf1")]
+    labels, forest = components(spark.createDataFrame(edges, "a string, b string"))
+    got = {r["node"]: r["root"] for r in labels.collect()}
+    assert got == {"hub": "hub", **{f"leaf{i}": "hub" for i in range(60)}, **{f"c{i:02}": "c00" for i in range(13)}}
+    assert forest.count() == len(got) - 2
+
+
 def test_a_hot_place_is_contracted_by_joins(spark):
     links = spark.createDataFrame([(i, i + 1, "hot") for i in range(30)] + [(100, 101, "x"), (102, 101, "x"), (200, 201, "y")], "a long, b long, k string")
     cold, hot = ({(r["node"], r["root"]) for r in name_links.place_components(links, n).collect()} for n in (1000, 5))
