@@ -25,7 +25,6 @@ from pyspark.sql import types as T
 
 from agorasift.session import cut
 
-TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: The public pattern of the byte-level vocabularies.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Windows that a shard fills, and pieces that it holds, about.
@@ -41,7 +40,7 @@ def _encoding(path: str, pattern: str):  # noqa: ANN202
     return tiktoken.Encoding(os.path.basename(path), pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
-def with_tokens(documents: DataFrame, text: str = "text", path: str = TOKENIZER, pattern: str = PATTERN) -> DataFrame:
+def with_tokens(documents: DataFrame, text: str = "text", *, path: str, pattern: str = PATTERN) -> DataFrame:
     """``documents`` with ``tokens``: the number of tokens of the whole text; null texts have 0."""
 
     @F.pandas_udf("int")
@@ -86,16 +85,17 @@ def best_fit(tokens: np.ndarray, capacity: int, max_docs: int, max_attention: fl
 _PACKED = T.StructType().add("window_id", "long").add("bin", "string").add("doc_id", "long").add("piece", "integer").add("tok_start", "long").add("tok_end", "long")
 
 
-def pack(documents: DataFrame, windows: DataFrame, *, path: str = TOKENIZER, attention_share: float = 1.0, tokens_per_doc: int = 16, rule: str = "norm") -> DataFrame:
+def pack(documents: DataFrame, windows: DataFrame, *, path: str, attention_share: float = 1.0, tokens_per_doc: int = 16, rule: str = "norm", pattern: str = PATTERN) -> DataFrame:
     """``window_id, bin, doc_id, piece, tok_start, tok_end``: every document's pieces per kind of window.
 
-    ``attention_share``: attention capacity as a share of capacity squared. At most capacity /
+    ``path``: the vocabulary file of a public tokenizer, readable on every executor.
+    ``attention_share``: attention capacity as a share of capacity squared; a document whose own cost exceeds it has a window to itself. At most capacity /
     ``tokens_per_doc`` documents (8 at least) share a window. Documents of no token (null or empty
     text) get one row with ``bin`` null. Null ids are left out; repeated rows count once. Window
     kinds without a positive capacity are left out.
     """
     docs = documents.where("doc_id is not null").select(F.col("doc_id").cast("long"), "text").dropDuplicates(["doc_id"])
-    sizes = cut(with_tokens(docs, path=path).select("doc_id", "tokens"))
+    sizes = cut(with_tokens(docs, path=path, pattern=pattern).select("doc_id", "tokens"))
     kinds = windows.where("capacity_tokens > 0 and window_id is not null").select(F.col("window_id").cast("long"), F.col("capacity_tokens").cast("long").alias("cap")).distinct()
     total = sizes.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens"), F.count("*").alias("docs")).first()
     per_kind = [(r["window_id"], r["cap"], max(1, -(-total["tokens"] // (r["cap"] * WINDOWS)), -(-total["docs"] // PIECES))) for r in kinds.collect()]  # the kinds of windows: a configuration table

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -11,6 +12,8 @@ from agorasift.llm import capping, consensus, cross_split, grouped_split, leaks,
 from agorasift.sources.tables import spread, table
 
 CAP = 30
+#: The vocabulary of a public tokenizer as the driver lays it out; a parameter of the operator.
+TOKENIZER = os.environ.get("AGORASIFT_TOKENIZER", "/opt/tokenizers/byte_bpe_50k.tiktoken")
 #: An annotator whose skill above chance is below this is unreliable; chance is 0, the usual annotator has 0.6 and more.
 UNRELIABLE = 0.25
 
@@ -40,7 +43,12 @@ def p3_redacted(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p8_windows(spark: SparkSession, d: str) -> DataFrame:
-    return packing.pack(table(spark, d, "documents"), table(spark, d, "context_windows"))
+    return packing.pack(table(spark, d, "documents"), table(spark, d, "context_windows"), path=TOKENIZER)
+
+
+def p8_bounded(spark: SparkSession, d: str) -> DataFrame:
+    """Windows in which attention (a quarter of capacity squared) and the number of documents (one in 256 tokens) bind beside tokens."""
+    return packing.pack(table(spark, d, "documents"), table(spark, d, "context_windows"), path=TOKENIZER, attention_share=0.25, tokens_per_doc=256, rule="dot")
 
 
 def p8_fill(spark: SparkSession, d: str) -> DataFrame:
@@ -133,7 +141,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         p1_found, p1_forms, p1_consistent_tags, p2_found, p2_item_agreement, p2_annotator_reliability, p3_found, p3_redacted, p4_found, p4_report, p4_classes, p5_found, p5_assignment, p5_forest, p6_found, p6_by_month,
-        p7_found, p7_entities, p8_windows, p8_fill, p9_found, p9_verbatim, p10_found,
+        p7_found, p7_entities, p8_windows, p8_bounded, p8_fill, p9_found, p9_verbatim, p10_found,
     )
 }
 

@@ -16,6 +16,7 @@ import re
 import unicodedata
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from functools import cached_property
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -92,42 +93,62 @@ def lookalike_table(counts: dict[str, int]) -> dict[str, str]:
         if invisible(ch) and ch not in JOINERS:
             out[ch] = ""
     # a representative may itself hold characters that are rewritten; settle them, so the result is a fixed point
-    for _ in range(4):
+    for _ in range(len(out)):  # each turn settles one more link of a chain
+        moved = False
         for s, r in list(out.items()):
-            if r not in out:
-                out[s] = "".join(out.get(x, x) for x in r) if len(r) > 1 else r
+            if r not in out and len(r) > 1:
+                settled = "".join(out.get(x, x) for x in r)
+                moved |= settled != r
+                out[s] = settled
+        if not moved:
+            break
     return {s: r for s, r in out.items() if s != r}
 
 
 class Rewriter:
-    """Greedy longest-first rewriting by one compiled automaton."""
+    """Greedy longest-first rewriting by one multi-pattern automaton over all patterns of the table."""
 
     def __init__(self, table: dict[str, str]) -> None:
         self.table = table
-        long = sorted((s for s in table if len(s) > 1), key=lambda s: (-len(s), s))
-        self.single = {ord(s): r for s, r in table.items() if len(s) == 1}
-        self.pattern = re.compile("|".join(map(re.escape, long))) if long else None
         self.ascii_stays = not any(s.isascii() for s in table)
 
+    @cached_property
+    def automaton(self):  # noqa: ANN201  built where it is used, once per worker
+        import ahocorasick
+
+        a = ahocorasick.Automaton()
+        for s, r in self.table.items():
+            a.add_word(s, (len(s), r))
+        a.make_automaton()
+        return a
+
+    def __getstate__(self) -> dict:
+        return {"table": self.table, "ascii_stays": self.ascii_stays}
+
     @staticmethod
     def _joiner(m: re.Match) -> str:
         s, i = m.string, m.start()
         before, after = s[i - 1 : i], s[m.end() : m.end() + 1]
         pictures = before and after and unicodedata.category(before) in ("So", "Sk", "Mn") and unicodedata.category(after) == "So"
-        return "‍" if pictures and "‍" in m.group() else ""
+        return "\u200d" if pictures and "\u200d" in m.group() else ""
+
+    def _once(self, text: str) -> str:
+        out, at = [], 0
+        for end, (n, r) in self.automaton.iter_long(text):
+            out += (text[at : end + 1 - n], r)
+            at = end + 1
+        return "".join(out) + text[at:] if out else text
 
     def __call__(self, text: str) -> str:
-        if self.ascii_stays and text.isascii():
+        if not self.table or (self.ascii_stays and text.isascii()):
             return text
-        if "‌" in text or "‍" in text:
-            text = re.sub(f"[{JOINERS}]+", self._joiner, "".join(ch for ch in text if ch in JOINERS or self.single.get(ord(ch)) != ""))
-        for _ in range(3):  # a removed character can bring a base and its mark together
-            new = self.pattern.sub(lambda m: self.table[m.group()], text) if self.pattern else text
-            new = new.translate(self.single)
-            if new == text:
-                break
+        if "\u200c" in text or "\u200d" in text:
+            text = re.sub(f"[{JOINERS}]+", self._joiner, "".join(ch for ch in text if ch in JOINERS or self.table.get(ch) != ""))
+        while (new := self._once(text)) != text:  # a removed character can bring a base and its mark together
+            if len(new) == len(text) and self._once(new) == text:
+                break  # cannot be with a settled table
             text = new
-        return text
+        return new
 
 
 def _count_batch(texts: Iterable[str]) -> Counter:

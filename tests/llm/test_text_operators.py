@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from agorasift.llm import leaks, packing, personal_info, sentences, visible_text
 
-TOK = packing.TOKENIZER
+TOK = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 
 
 # ---------------------------------------------------------------- visible text
@@ -115,7 +115,7 @@ def test_pack(spark):
     rows = [(1, "word " * 900), (2, "short text"), (3, ""), (4, None), (5, "a b c"), (5, "a b c"), (None, "lost"), *[(10 + i, "some words here " * (i % 40)) for i in range(200)]]
     docs = spark.createDataFrame([(*r, 9) for r in rows], "doc_id long, text string, tokens int")
     kinds = spark.createDataFrame([(1, "s", 128), (2, "m", 1024), (3, "bad", 0)], "window_id long, name string, capacity_tokens long")
-    got = packing.pack(docs, kinds).collect()
+    got = packing.pack(docs, kinds, path=TOK).collect()
     assert {r["window_id"] for r in got} == {1, 2}
     fill, pieces = {}, {}
     for r in got:
@@ -128,7 +128,21 @@ def test_pack(spark):
         p.sort()
         assert p[0][0] == 0 and all(a[1] == b[0] for a, b in zip(p, p[1:])) and (len(p) == 1 or p[-1][1] > cap[w])
     assert {r["doc_id"] for r in got if r["bin"] is None} >= {3, 4} and len({r["doc_id"] for r in got}) == 205
-    assert packing.pack(docs.limit(0), kinds).count() == 0 and packing.pack(docs, kinds.limit(0)).count() == 0
+    assert packing.pack(docs.limit(0), kinds, path=TOK).count() == 0 and packing.pack(docs, kinds.limit(0), path=TOK).count() == 0
+
+
+def test_attention_and_documents_bind(spark):
+    docs = spark.createDataFrame([(i, "words of a text " * (5 + i % 60)) for i in range(300)], "doc_id long, text string")
+    kinds = spark.createDataFrame([(1, "m", 1024)], "window_id long, name string, capacity_tokens long")
+    loose = packing.pack(docs, kinds, path=TOK).collect()
+    full = packing.pack(docs, kinds, path=TOK, attention_share=0.1, tokens_per_doc=128, rule="dot").collect()
+    by = {}
+    for r in full:
+        by.setdefault(r["bin"], []).append(r["tok_end"] - r["tok_start"])
+    for sizes in by.values():
+        assert sum(sizes) <= 1024 and len(sizes) <= 8 and (sum(x * x for x in sizes) <= 0.1 * 1024**2 + 1e-6 or len(sizes) == 1)
+    assert any(len(sizes) == 8 for sizes in by.values()) and any(sum(x * x for x in sizes) > 0.09 * 1024**2 for sizes in by.values())
+    assert len(by) > len({r["bin"] for r in loose})
 
 
 # ---------------------------------------------------------------- leaks
