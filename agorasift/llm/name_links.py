@@ -47,7 +47,8 @@ def classes_of(contributions: DataFrame) -> tuple[DataFrame, DataFrame]:
     rows = contributions.where("contribution_id is not null and contributor_name is not null").select(
         "contribution_id", F.col("contributor_name").alias("name"), _place(F.col("contributor_city")).alias("city"), _place(F.col("contributor_state")).alias("state")
     ).distinct()
-    spelt = rows.select("name").distinct().withColumn("p", _parsed("name")).select("name", "p.*").where(F.size("words") > 0)
+    spelt = rows.select("name").distinct().withColumn("p", _parsed.asNondeterministic()("name"))  # run once, after the distinct
+    spelt = spelt.select("name", "p.*").where(F.size("words") > 0)
     form = F.concat_ws("|", F.array_join("words", " "), F.array_join("initials", ""), "suffix", F.col("org").cast("string"))
     spelt = cut(spelt.withColumn("form", form))
     key = F.concat_ws("\x1f", "form", F.coalesce("city", F.lit("?")), F.coalesce("state", F.lit("?")))

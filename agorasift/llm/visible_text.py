@@ -189,6 +189,7 @@ def rewrite(df: DataFrame, column: str, out: str, table: dict[str, str]) -> Data
     def norm(s: pd.Series) -> pd.Series:
         return s.map(lambda x: None if x is None else rewriter(x))
 
+    norm = norm.asNondeterministic()  # else a filter on the result would run it twice
     if rewriter.ascii_stays:
         plain = F.col(column).rlike(r"^\p{ASCII}*$") | F.col(column).isNull()
         odd = F.when(~plain, F.col(column))  # null for plain rows, which the function then skips
