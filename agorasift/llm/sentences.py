@@ -1,47 +1,98 @@
 """Sentence units across languages and scripts (problem 10).
 
-Sentence-break rules on character properties: terminators of all scripts, closing quotes and
-brackets, lower-case continuation, numbers. On top: abbreviations of several languages (applied
-whatever the language tag says, as tags are often wrong), direct speech inside a reporting
+Sentence-break rules on character properties: terminators of all scripts and closing quotes and
+brackets by their Sentence_Break value, lower-case continuation, numbers. On top: abbreviations of
+the languages the text is written in (told from the text, as tags are often wrong), direct speech inside a reporting
 sentence, headings and list items, and spaces where a script writes no end marks.
 """
 
 from __future__ import annotations
 
 import re
-import unicodedata
+from collections import Counter
+from functools import lru_cache
 
 import pandas as pd
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Terminators of all scripts. The dot and the ellipsis have rules of their own.
-HARD = "!?‼⁇⁈⁉؟۔܀।॥෴။၊፧።᙮᠃᠉᥄᥅꘎꘏꛳꛷꩝꩞꩟꫰꯫。！？｡．"
-CLOSERS = "\"'”’»)]}）］｝」』】〉》〕›‟"
+_EVERY = "".join(map(chr, (*range(0xD800), *range(0xE000, 0x30000))))
+#: Terminators of all scripts by the Sentence_Break property (STerm, and ATerm but for the dot, which has rules of its own).
+HARD = "".join(regex.findall(r"[\p{SB=STerm}\p{SB=ATerm}]", _EVERY)).replace(".", "").replace("\u2024", "")
+#: Closing quotes and brackets: Sentence_Break=Close that does not open.
+CLOSERS = "\"'" + "".join(regex.findall(r"[\p{SB=Close}&&[\p{Pe}\p{Pf}\u201f]]", _EVERY, regex.V1))
+del _EVERY
 _END = re.compile(rf"(?:[{re.escape(HARD)}.…](?:\s?[{re.escape(HARD)}.…](?![^\W\d_]))*)", re.S)
 _CLOSE = re.compile(rf"[{re.escape(CLOSERS)}]+")
 _BLANK = re.compile(r"(?:\r?\n|\r|[ ])[^\S\n\r]*(?:(?:\r?\n|\r| )[^\S\n\r]*)+| |\f")
 _MARKER = re.compile(r"[^\S\n]*(?:[-*•‣◦▪·–—+]|\(?\d{1,3}[.)]|\(?[A-Za-z]\)|\([ivx]{1,4}\)|[①-⑳])[^\S\n]+\S")
 _SPANS = re.compile(r"“[^“”]{1,800}”|«[^«»]{1,800}»|„[^„“”]{1,800}[“”]|「[^「」]{1,800}」|『[^『』]{1,800}』|\"[^\"]{1,800}\"|(?<!\w)'[^']{1,120}[.!?]'(?!\w)|‘[^‘’]{1,200}[.!?]’(?!\w)|\([^()]{1,400}\)|（[^（）]{1,400}）")
 _WORD = re.compile(r"[^\W_]+(?:['’.\-][^\W_]+)*")
-# Abbreviations that never end a sentence, in several languages.
-NEVER = frozenset(
-    "dr prof mr mrs ms mx messrs st mt ft sen rep gov lt col capt cpt gen maj sgt cmdr adm hon rev pres supt ald jas wm chas geo thos jos robt vs v cf approx ca c i.e e.g viz "
-    "hr hrn fr frl bzw vgl z b z.b u d d.h h.c mio mrd tsd inkl exkl sog ggf evtl geb mme mlle mm m ex p.ex av sr sra srta dra dña ej p.ej ud uds gral lic ing sig sigg dott "
-    "г ул д т е т.е п млн млрд тыс руб им стр см рис проф акад ред гл डॉ श्री श्रीमती प्रो पं د أ u.s u.n u.k e.u".split()
-)
+# Abbreviations that never end a sentence, by language; those of "" hold in all.
+ABBREVIATIONS = {
+    "": "dr prof mr mrs ms st vs v cf",
+    "en": "mx messrs mt ft sen rep gov lt col capt cpt gen maj sgt cmdr adm hon rev pres supt ald jas wm chas geo thos jos robt approx ca c i.e e.g viz u.s u.n u.k e.u",
+    "de": "hr hrn fr frl bzw vgl z b z.b u d d.h h.c mio mrd tsd inkl exkl sog ggf evtl geb ca",
+    "fr": "mme mlle mm m ex p.ex av",
+    "es": "sr sra srta dra d dña ej p.ej ud uds gral lic ing av gen",
+    "it": "sig sigg dott ing ecc",
+    "pt": "sr sra exmo",
+    "ru": "г ул д т е т.е п млн млрд тыс руб им стр см рис проф акад ред гл",
+    "hi": "डॉ श्री श्रीमती प्रो पं",
+    "ar": "د أ",
+}
+# Frequent small words that tell the languages of Latin script apart.
+SMALL_WORDS = {
+    "en": "the and of to in is was that for with on at by from it as are be this his her not but they we our",
+    "de": "der die das und ist nicht ein eine mit von zu im den dem des für auf sich auch wir sie es",
+    "fr": "le la les des et est une un du que qui dans pour pas sur au aux ne se il elle nous",
+    "es": "el la los las y de que en un una por con para del se no es al lo su",
+    "it": "il lo gli di e che un una per con del della non si è nel sono la i",
+    "pt": "o a os as e de que em um uma por com para do da não se é no na",
+}
+_LANGUAGE_OF: dict[str, list[str]] = {}
+for _l, _w in SMALL_WORDS.items():
+    for _x in _w.split():
+        _LANGUAGE_OF.setdefault(_x, []).append(_l)
+_SCRIPTS = (("ru", re.compile("[\u0400-\u04ff]")), ("hi", re.compile("[\u0900-\u097f]")), ("ar", re.compile("[\u0600-\u06ff]")))
+
+
+@lru_cache(maxsize=256)
+def _abbreviations(languages: frozenset[str]) -> frozenset[str]:
+    return frozenset(w for l in ("", *languages) for w in ABBREVIATIONS[l].split())
+
+
+def abbreviations_of(text: str) -> frozenset[str]:
+    """Abbreviations of the languages that a text is written in, by its scripts and small words; of all of Latin script where it has none."""
+    counts: Counter = Counter()
+    for w in text.lower().split():
+        if w in _LANGUAGE_OF:
+            counts.update(_LANGUAGE_OF[w])
+    top = max(counts.values(), default=0)
+    found = {l for l, n in counts.items() if n * 3 >= top} if top >= 2 else set(SMALL_WORDS)
+    if not text.isascii():
+        found |= {l for l, pattern in _SCRIPTS if pattern.search(text)}
+    return _abbreviations(frozenset(found))
+
+
 # Abbreviations that announce a number, and those that may end a sentence.
 COUNTED = frozenset("no nos nr vol vols pp p pg fig figs sec secs ch chap art arts abs ver par para pág págs núm núms sect ed op kap bd सं n° jan feb mar apr jun jul aug sep sept oct nov dec".split())
 MAYBE = frozenset("etc usw inc ltd co corp bros jr esq al rd ave blvd a.m p.m u.a др пр ph.d m.d b.a m.a llc".split())
-AFTER_TIME = frozenset("monday tuesday wednesday thursday friday saturday sunday january february march april may june july august september october november december est pst cst gmt utc".split())
+AFTER_TIME = frozenset("sharp monday tuesday wednesday thursday friday saturday sunday january february march april may june july august september october november december est pst cst gmt utc".split())
 DE_MONTHS = frozenset("januar jänner februar märz april mai juni juli august september oktober november dezember".split())
 LEGAL = frozenset("inc ltd co corp llc plc bros".split())
 REPORTING = frozenset("asked said says cried wrote replied shouted called added told answered whispered warned snapped insisted demanded muttered admitted declared exclaimed".split())
 # Verbs that follow the speaker's name after a cry.
 CRIED = frozenset("said says cried shouted replied whispered snapped exclaimed warned muttered yelled".split())
 #: Words with which, in texts without capitals, a sentence goes on after an abbreviation.
-GOES_ON = frozenset("was is were are has had have and or of in for to said will filed on at by with sharp as but from the-same who which that".split())
+GOES_ON = frozenset(
+    "is was are were be been has had have do does did will would shall should can could may might must and or but nor yet so as than that which who whose whom of in on at by for from to with into over under "
+    "about after before between through during against per via not also said says".split()
+)
+#: Words with which a sentence begins, where it is glued to the one before in a text without capitals.
+BEGINS = frozenset("the a an this that these those it he she we they i you my our his her their its who what where when why how there here if but and so then no not all some both half two many most few dr mr mrs ms sen gov".split())
 _NO_ENDS = re.compile("[฀-໿ក-៿ᨠ-᪯]")
 
 
@@ -55,7 +106,7 @@ def _caseless(ch: str) -> bool:
     return ch.isalpha() and ch.lower() == ch.upper()
 
 
-def _abbreviation(text: str, start: int, dot: int, after: int, stop: int, low: bool) -> bool:
+def _abbreviation(text: str, start: int, dot: int, after: int, stop: int, low: bool, never: frozenset[str]) -> bool:
     """Does the dot at ``dot`` belong to an abbreviation that does not end the sentence?"""
     i = dot
     while i > start and not text[i - 1].isspace():
@@ -68,7 +119,7 @@ def _abbreviation(text: str, start: int, dot: int, after: int, stop: int, low: b
     if len(token) == 1 and token.isalpha() and (token.isupper() or (low and nxt.isalpha() and word not in "hx")):
         return True
     tail = re.split(r"['’\-]", word)[-1]
-    if word in NEVER or tail in NEVER:
+    if word in never or tail in never:
         if word == "г" and re.search(r"\d{4}\s$", text[max(start, i - 6) : i]) and nxt.isupper():
             return False
         return True
@@ -112,7 +163,7 @@ def _speech_ends(text: str, start: int, a: int, b: int, stop: int, low: bool) ->
     return not (not lead and cry and any(w in CRIED for w in m[1:]))
 
 
-def _running(text: str, start: int, stop: int, low: bool, out: list[tuple[int, int]]) -> None:
+def _running(text: str, start: int, stop: int, low: bool, never: frozenset[str], out: list[tuple[int, int]]) -> None:
     """Units of one paragraph of running text."""
     begin = _next(text, start, stop)
     spans: dict[int, int] = {}
@@ -191,16 +242,16 @@ def _running(text: str, start: int, stop: int, low: bool, out: list[tuple[int, i
         if not gap:
             glued = nxt.isupper() and text[after + 1 : after + 2] not in (".", "") and (text[dot - 1 : dot].islower() or text[dot - 1 : dot].isdigit() or text[dot - 1 : dot] in ")%\"”’»" or _caseless(text[dot - 1 : dot]))
             if not glued and not (_caseless(nxt) and _caseless(text[dot - 1 : dot]) and "؀" <= nxt <= "ۿ"):
-                low_word = re.match(r"(?:the|a|an|two|both|half|residents|our|it|my|who|where|dr|sen|gov)\b", text[after : after + 12]) if low else None
-                if not low_word or not text[dot - 1 : dot].isalpha():
+                low_word = _WORD.match(text, after, stop) if low else None
+                if not low_word or low_word.group() not in BEGINS or not text[dot - 1 : dot].isalpha():
                     continue
-            if _abbreviation(text, begin, dot, after, stop, low):
+            if _abbreviation(text, begin, dot, after, stop, low, never):
                 continue
             emit(e)
             continue
         if nxt in ",;:" or (nxt.islower() and not low):
             continue
-        if e == dot + 1 and _abbreviation(text, begin, dot, after, stop, low):
+        if e == dot + 1 and _abbreviation(text, begin, dot, after, stop, low, never):
             continue
         if nxt in "-–—" and not text[after + 1 : after + 2].isalpha() and not text[after + 1 : after + 2] in "¡¿":
             continue
@@ -235,16 +286,17 @@ def sentence_spans(text: str | None) -> list[tuple[int, int]]:
     if not text or text.isspace():
         return []
     out: list[tuple[int, int]] = []
+    never = abbreviations_of(text)
     at = 0
     for m in [*_BLANK.finditer(text), None]:
         stop = m.start() if m else len(text)
-        _paragraph(text, at, stop, out)
+        _paragraph(text, at, stop, never, out)
         if m:
             at = m.end()
     return out
 
 
-def _paragraph(text: str, start: int, stop: int, out: list[tuple[int, int]]) -> None:
+def _paragraph(text: str, start: int, stop: int, never: frozenset[str], out: list[tuple[int, int]]) -> None:
     if start >= stop:
         return
     body = text[start:stop]
@@ -265,7 +317,7 @@ def _paragraph(text: str, start: int, stop: int, out: list[tuple[int, int]]) ->
     if lists:
         assert first is not None
         if first:
-            _running(text, start, bounds[first][0], low, out)
+            _running(text, start, bounds[first][0], low, never, out)
         k = first
         while k < len(bounds):  # an item runs on over unmarked lines
             j = k + 1
@@ -282,7 +334,7 @@ def _paragraph(text: str, start: int, stop: int, out: list[tuple[int, int]]) ->
     if n and n * 2 > sum(map(str.isalpha, body)):
         _spaced(text, start, stop, out)
     else:
-        _running(text, start, stop, low, out)
+        _running(text, start, stop, low, never, out)
 
 
 _SPAN = T.ArrayType(T.StructType().add("sent_start", "long").add("sent_end", "long"))
@@ -301,7 +353,3 @@ def sentences(documents: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = documents.where(F.col(text_col).isNotNull()).select(id_col, _spans(F.col(text_col)).alias("u"))
     return rows.select(id_col, F.explode("u").alias("x")).select(id_col, "x.sent_start", "x.sent_end").distinct()
 
-
-def script_of(ch: str) -> str:
-    """First word of the character's Unicode name."""
-    return unicodedata.name(ch, "UNKNOWN").split()[0]
