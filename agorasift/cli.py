@@ -30,8 +30,12 @@ def collect(spark: SparkSession, a: argparse.Namespace) -> None:
         texts = [paged.user_text(u, a.replies, a.forwards) for u in a.user]
     elif a.keywords:
         texts = [r["keyword"] for r in keywords.load_dictionaries(spark, a.keywords).select("keyword").orderBy("keyword").collect()]
-    texts = [paged.search_text(q, a.since, a.until, a.language) for q in texts]
-    reader = spark.read.format("tweet_pages").option("queries", json.dumps(texts)).option("fetch", a.fetch).option("maxresults", a.max_results)
+    if a.archive_days and a.since and a.until:  # stretches of the period are read side by side
+        texts = paged.archive_texts(texts, a.since, a.until, a.archive_days, a.language)
+    else:
+        texts = [paged.search_text(q, a.since, a.until, a.language) for q in texts]
+    options = config.source_options(config.load(a.settings)) | ({"fetch": a.fetch} if a.fetch else {})
+    reader = spark.read.format("tweet_pages").options(**options).option("queries", json.dumps(texts)).option("maxresults", a.max_results)
     for pair in a.option:
         reader = reader.option(*pair.split("=", 1))
     _out(reader.load(), a, "collect")
@@ -39,7 +43,8 @@ def collect(spark: SparkSession, a: argparse.Namespace) -> None:
 
 def collect_finance(spark: SparkSession, a: argparse.Namespace) -> None:
     spark.dataSource.register(finance.FinancePages)
-    reader = spark.read.format("finance_pages").option("kind", a.kind).option("fetch", a.fetch)
+    options = config.source_options(config.load(a.settings)) | ({"fetch": a.fetch} if a.fetch else {})
+    reader = spark.read.format("finance_pages").options(**options).option("kind", a.kind)
     for pair in a.option:
         reader = reader.option(*pair.split("=", 1))
     _out(reader.load(), a, "finance")
@@ -118,24 +123,27 @@ def parser() -> argparse.ArgumentParser:
     for o in ("--since", "--until", "--language"):
         p.add_argument(o)
     p.add_argument("--max-results", type=int, default=1000)
+    p.add_argument("--archive-days", type=int, default=0, help="split the period into stretches of so many days")
     f = command(c, "finance", collect_finance, "none")
     f.add_argument("--kind", choices=list(finance.SCHEMAS), default="candidates")
     for x in (p, f):
-        x.add_argument("--fetch", default="recorded")
+        x.add_argument("--fetch")
+        x.add_argument("--settings", action="append", default=[], help="JSON files of settings")
         x.add_argument("--option", action="append", default=[])
 
+    defaults = config.load()
     g = group("preprocess")
     p = command(g, "clean", run_clean)
     p.add_argument("--keep-urls", dest="remove_urls", action="store_false")
     p.add_argument("--remove-mentions", action="store_true")
     p.add_argument("--keep-hashtags", dest="normalize_hashtags", action="store_false")
-    p.add_argument("--language", default="en")
-    p.add_argument("--min-length", type=int, default=10)
+    p.add_argument("--language", default=defaults["clean.language"])
+    p.add_argument("--min-length", type=int, default=defaults["clean.min_length"])
     p = command(g, "detect", run_detect)
     p.add_argument("--keywords")
-    p.add_argument("--min-score", type=float, default=0.3)
+    p.add_argument("--min-score", type=float, default=defaults["detect.min_score"])
     p = command(g, "anonymize", run_anonymize)
-    p.add_argument("--salt", default=config.load().ethics.hash_salt)
+    p.add_argument("--salt", default=defaults["privacy.salt"])
     p.add_argument("--keep-pii", dest="remove_pii", action="store_false")
     command(g, "merge", run_merge, "many")
     command(g, "stats", run_stats)

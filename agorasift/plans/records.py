@@ -144,7 +144,24 @@ def catalog_page(s: SparkSession, d: str) -> DataFrame:
 
 
 def catalog_stats(s: SparkSession, d: str) -> DataFrame:
-    return catalog.catalog_stats(table(s, d, "collections"), table(s, d, "users"))
+    log = table(s, d, "tweets").select("collection_query", F.date_trunc("day", "collected_at").alias("day")).distinct()  # one query a day
+    return catalog.catalog_stats(table(s, d, "collections"), table(s, d, "users"), log)
+
+
+def _event(seq: str, kind: str, name: str, key: str, *fields: str) -> list:
+    pairs = [x for f in fields for x in (F.lit(f), F.col(f).cast("string"))]
+    return [F.expr(seq).cast("long").alias("seq"), F.lit(kind).alias("kind"), F.lit(name).alias("table"), F.col(key).cast("string").alias("key"), F.create_map(*pairs).alias("fields"), F.lit(NOW).cast("timestamp").alias("at")]
+
+
+def catalog_changes(s: SparkSession, d: str) -> DataFrame:
+    """The catalogue after inserts, updates of status and metadata, and deletions, read from its events."""
+    c = table(s, d, "collections")
+    new = c.select(*_event("id", "put", "collections", "id", "name", "status", "tweet_count"))
+    ended = c.where("end_date is null").withColumn("status", F.lit("open")).withColumn("note", F.lit("no end")).select(*_event("1000 + id", "patch", "collections", "id", "status", "note"))
+    gone = c.where("status = 'failed'").select(F.expr("2000 + id").cast("long").alias("seq"), F.lit("delete").alias("kind"), F.lit("collections").alias("table"), F.col("id").cast("string").alias("key"), F.create_map().cast("map<string,string>").alias("fields"), F.lit(NOW).cast("timestamp").alias("at"))
+    rows = catalog.state(new.unionByName(ended).unionByName(gone), "collections")
+    f = F.col("fields")
+    return rows.select(F.col("key").cast("long").alias("id"), f["name"].alias("name"), f["status"].alias("status"), f["tweet_count"].cast("long").alias("tweet_count"), f["note"].alias("note"))
 
 
 def catalog_lookup(s: SparkSession, d: str) -> DataFrame:
@@ -220,7 +237,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         gold_majority, gold_weighted, gold_average, agreement, annotation_stats, annotations_by_annotator, class_histogram, by_class_undersample, by_class_lists, by_class_oversample, political_labels,
         political_balance, split_random, split_stratified, sample_n, merge_by_id, merge_by_content, merge_input_order, store_query, normalize_tweets, count_by_day, count_by_hour_events, latest_tweets, user_counters, user_stats,
-        catalog_page, catalog_stats, catalog_lookup, metadata_fields, tweet_user_lookup, collection_counts, finance_candidates, finance_committees, finance_contributions, finance_by_name, finance_totals,
+        catalog_page, catalog_stats, catalog_changes, catalog_lookup, metadata_fields, tweet_user_lookup, collection_counts, finance_candidates, finance_committees, finance_contributions, finance_by_name, finance_totals,
         retention_expired, deletion_requests, deletion_applied, stream_dedup,
     )
 }
@@ -285,7 +302,8 @@ ORACLES: dict[str, str] = {
     "user_counters": "SELECT author_id_hash AS user_id_hash, count(*) AS tweet_count, min(collected_at) AS first_seen, max(collected_at) AS last_seen FROM tweets WHERE author_id_hash IS NOT NULL GROUP BY 1",
     "user_stats": "SELECT count(*) AS users, coalesce(sum(tweet_count), 0)::BIGINT AS tweets, round(avg(tweet_count), 2) AS avg_tweets FROM users",
     "catalog_page": "SELECT id, name, created_at FROM collections WHERE status = 'completed' ORDER BY created_at DESC, id DESC LIMIT 5 OFFSET 5",
-    "catalog_stats": "SELECT count(*) AS collections, count(*) FILTER (status = 'completed') AS completed, coalesce(sum(tweet_count), 0)::BIGINT AS collected, (SELECT count(*) FROM users) AS users FROM collections",
+    "catalog_stats": "SELECT count(*) AS collections, count(*) FILTER (status = 'completed') AS completed, coalesce(sum(tweet_count), 0)::BIGINT AS collected, (SELECT count(*) FROM users) AS users, (SELECT count(*) FROM (SELECT DISTINCT collection_query, date_trunc('day', collected_at) FROM tweets)) AS queries FROM collections",
+    "catalog_changes": """SELECT id, name, CASE WHEN end_date IS NULL THEN 'open' ELSE status END AS status, tweet_count, CASE WHEN end_date IS NULL THEN 'no end' END AS note FROM collections WHERE status IS DISTINCT FROM 'failed'""",
     "catalog_lookup": "SELECT id, name, query, status FROM collections WHERE name = 'river_levy_2024' ORDER BY id LIMIT 1",
     "metadata_fields": "SELECT field, count(*) AS users FROM (SELECT unnest(json_keys(metadata)) AS field FROM users WHERE metadata IS NOT NULL) GROUP BY 1",
     "tweet_user_lookup": "SELECT tweet_id, collected_at, u.tweet_count FROM tweets t LEFT JOIN users u ON t.author_id_hash = u.user_id_hash",

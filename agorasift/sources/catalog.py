@@ -6,9 +6,17 @@ aggregate with map-side combine. Metadata is JSON text, merged shallowly, new va
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import datetime as dt
+import json
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+#: One change: ``put`` replaces the record, ``patch`` sets some of its fields, ``delete`` removes it.
+EVENTS = "seq long, kind string, table string, key string, fields map<string,string>, at timestamp"
+#: Version of the layout of the log.
+VERSION = 1
+
 
 def latest(events: DataFrame, key: str, order: list[str], deleted: str | None = None) -> DataFrame:
     """The newest event per ``key`` (ties in the order of ``order``); tombstones remove the key."""
@@ -57,11 +65,112 @@ def user_stats(users: DataFrame) -> DataFrame:
     return users.agg(F.count("*").alias("users"), F.coalesce(F.sum("tweet_count"), F.lit(0)).alias("tweets"), F.round(F.avg("tweet_count"), 2).alias("avg_tweets"))
 
 
-def catalog_stats(collections: DataFrame, users: DataFrame) -> DataFrame:
-    """One row of totals."""
+def state(events: DataFrame, table: str) -> DataFrame:
+    """``key, fields, created_at, updated_at`` of every record of ``table`` after all ``events``.
+
+    Every field has its latest value since the record was last put; a record whose latest put or
+    delete is a delete, or which was only patched, is not there. Fields named ``metadata.x`` merge one
+    by one. Two aggregates with map-side combine, however many events a key has.
+    """
+    mine = events.where((F.col("table") == table) & F.col("key").isNotNull())
+    last = mine.groupBy("key").agg(
+        F.max(F.when(F.col("kind") != "patch", F.struct("seq", "kind", "at"))).alias("_begin"), F.min(F.when(F.col("kind") == "put", F.col("at"))).alias("created_at"), F.max("at").alias("updated_at"),
+    ).where("_begin.kind = 'put'")
+    fields = mine.where("kind <> 'delete'").select("key", "seq", F.explode("fields").alias("f", "v")).join(last.select("key", F.col("_begin.seq").alias("_from")), "key").where("seq >= _from")
+    values = fields.groupBy("key", "f").agg(F.max_by("v", "seq").alias("v"))
+    maps = values.groupBy("key").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("f", "v")))).alias("fields"))
+    return last.join(maps, "key", "left").select("key", F.coalesce("fields", F.create_map().cast("map<string,string>")).alias("fields"), "created_at", "updated_at")
+
+
+class Catalog:
+    """Collections, checkpoints, users and the query log in one folder of change events.
+
+    Every call appends one Parquet write, which appears whole or not at all: that is the transaction,
+    also for a cascade. One writer at a time; any number of readers. State is read by :func:`state`.
+    """
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self.spark, self.path = spark, path
+        rows = self.events().where("table = 'schema'").agg(F.max(F.col("fields")["version"].cast("int"))).first()[0]
+        if rows is None:
+            self._commit([("put", "schema", "version", {"version": VERSION})])
+        elif rows > VERSION:
+            raise ValueError(f"the catalogue has layout {rows}, this program knows {VERSION}")
+
+    def events(self) -> DataFrame:
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        if not p.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(p):
+            return self.spark.createDataFrame([], EVENTS)
+        return self.spark.read.schema(EVENTS).parquet(self.path)
+
+    def _next(self) -> int:
+        return (self.events().agg(F.max("seq")).first()[0] or 0) + 1
+
+    def _commit(self, changes: list[tuple[str, str, str, dict]], at: dt.datetime | None = None) -> int:
+        seq, at = self._next(), at or dt.datetime.now(dt.timezone.utc)
+        rows = [(seq + i, kind, table, key, {k: None if v is None else str(v) for k, v in fields.items()}, at) for i, (kind, table, key, fields) in enumerate(changes)]
+        self.spark.createDataFrame(rows, EVENTS).coalesce(1).write.mode("append").parquet(self.path)
+        return seq
+
+    @staticmethod
+    def _meta(metadata: dict | None) -> dict:
+        return {f"metadata.{k}": json.dumps(v) for k, v in (metadata or {}).items()}
+
+    def _has(self, table: str, key: str) -> bool:
+        return not state(self.events().where(F.col("key") == key), table).isEmpty()
+
+    def create_collection(self, name: str, query: str, start: object = None, end: object = None, metadata: dict | None = None) -> int:
+        """The new collection's id; it starts as ``pending`` with no tweets."""
+        new = self._next()
+        self._commit([("put", "collections", str(new), {"name": name, "query": query, "start_date": start, "end_date": end, "status": "pending", "tweet_count": 0, **self._meta(metadata)})])
+        return new
+
+    def update_collection(self, id_: int, tweet_count: int | None = None, status: str | None = None, metadata: dict | None = None) -> bool:
+        fields = {k: v for k, v in (("tweet_count", tweet_count), ("status", status)) if v is not None} | self._meta(metadata)
+        if not fields or not self._has("collections", str(id_)):
+            return False
+        self._commit([("patch", "collections", str(id_), fields)])
+        return True
+
+    def delete_collection(self, id_: int) -> bool:
+        """Removes the collection and its checkpoint in one commit."""
+        if not self._has("collections", str(id_)):
+            return False
+        self._commit([("delete", "checkpoints", str(id_), {}), ("delete", "collections", str(id_), {})])
+        return True
+
+    def save_checkpoint(self, collection: int, last_tweet_id: str | None = None, next_token: str | None = None, items: int = 0, metadata: dict | None = None) -> None:
+        self._commit([("put", "checkpoints", str(collection), {"last_tweet_id": last_tweet_id, "next_token": next_token, "items_collected": items, **self._meta(metadata)})])
+
+    def delete_checkpoint(self, collection: int) -> bool:
+        had = self._has("checkpoints", str(collection))
+        if had:
+            self._commit([("delete", "checkpoints", str(collection), {})])
+        return had
+
+    def log_query(self, query: str, endpoint: str, count: int | None = None, success: bool = True, error: str | None = None) -> int:
+        new = self._next()
+        self._commit([("put", "queries", str(new), {"query": query, "endpoint": endpoint, "response_count": count, "success": str(success).lower(), "error_message": error})])
+        return new
+
+    def track_user(self, user_hash: str, metadata: dict | None = None) -> None:
+        """One more sighting; counts and times follow from the sightings."""
+        self._commit([("put", "sightings", f"{user_hash}:{self._next()}", {"user": user_hash, **self._meta(metadata)})])
+
+    def users(self) -> DataFrame:
+        seen = state(self.events(), "sightings").select(F.col("fields")["user"].alias("user"), "created_at")
+        return user_counters(seen, "user", "created_at")
+
+    def stats(self) -> DataFrame:
+        c = state(self.events(), "collections").select(F.col("fields")["status"].alias("status"), F.col("fields")["tweet_count"].cast("long").alias("tweet_count"))
+        return catalog_stats(c, self.users(), state(self.events(), "queries"))
+
+
+def catalog_stats(collections: DataFrame, users: DataFrame, log: DataFrame) -> DataFrame:
+    """One row of the five totals."""
     a = collections.agg(F.count("*").alias("collections"), F.count_if(F.col("status") == "completed").alias("completed"), F.coalesce(F.sum("tweet_count"), F.lit(0)).alias("collected"))
-    b = users.agg(F.count("*").alias("users"))
-    return a.join(F.broadcast(b))  # one row each
+    b, c = users.agg(F.count("*").alias("users")), log.agg(F.count("*").alias("queries"))
+    return a.join(F.broadcast(b)).join(F.broadcast(c))  # one row each
 
 
 def numbered(rows: DataFrame, order: list[str], start: int = 1) -> DataFrame:

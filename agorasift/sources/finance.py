@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition, SimpleDataSourceStreamReader
 
 from agorasift.sources.paged import fetcher
+from agorasift.sources.ratelimit import Refused, SlidingWindow, retrying
 
 # The three record types.
 SCHEMAS = {
@@ -61,34 +62,83 @@ def contributions(df: DataFrame, name: str | None = None, committee_id: str | No
     return rows.limit(limit) if limit else rows
 
 
-def candidate_totals(rows: DataFrame) -> DataFrame:
-    """``candidate_id, receipts, contributions, contributors, largest``; repeated rows count once."""
+def candidate_totals(rows: DataFrame, election_year: int | None = None) -> DataFrame:
+    """``candidate_id, receipts, contributions, contributors, largest``; repeated rows count once.
+
+    ``election_year`` (even): only its two-year period counts.
+    """
+    if election_year:
+        rows = rows.where(F.year(date_of(F.col("contribution_date"))).isin(election_year - 1, election_year))
     one = rows.where("candidate_id is not null").dropDuplicates(["contribution_id"])
     return one.groupBy("candidate_id").agg(F.round(F.sum("contribution_amount"), 2).alias("receipts"), F.count("*").alias("contributions"), F.count_distinct("contributor_name").alias("contributors"), F.max("contribution_amount").alias("largest"))
 
 
 class _Page(InputPartition):
-    def __init__(self, page: int) -> None:
-        self.page = page
+    def __init__(self, page: int, pages: int) -> None:
+        self.page, self.pages = page, pages
+
+
+def _requests(options: dict, parts: int) -> Callable:
+    """The fetcher under the hourly limit (``perhour``, shared by the partitions), tried again after refusals."""
+    window = SlidingWindow(max(1, int(options.get("perhour", "1000")) // max(1, parts)))
+    fetch = fetcher(options["fetch"])
+
+    def once(kind: str, page: int, opts: dict) -> tuple:
+        window.wait()
+        return fetch(kind, page, opts)
+
+    return retrying(once, int(options.get("attempts", "5")), float(options.get("basedelay", "2")), float(options.get("maxdelay", "60")), (OSError, Refused))
 
 
 class _Reader(DataSourceReader):
-    """After the first page the number of pages is known, and the rest is read in parallel."""
+    """After the first page the number of pages is known, and the rest is read in parallel.
+
+    Filters (``q``, ``office``, ``min_amount`` and so on) are options, which the fetcher sends along.
+    """
 
     def __init__(self, options: dict, kind: str) -> None:
         self.options, self.kind = dict(options), kind
         self.columns = [p.split()[0] for p in SCHEMAS[kind].split(", ")]
 
     def partitions(self) -> list[_Page]:
-        _, pages = fetcher(self.options["fetch"])(self.kind, 1, self.options)
-        return [_Page(k) for k in range(1, int(pages) + 1)]
+        _, pages = _requests(self.options, 1)(self.kind, 1, self.options)
+        return [_Page(k, int(pages)) for k in range(1, int(pages) + 1)]
 
     def read(self, partition: _Page) -> Iterator[tuple]:
-        rows, _ = fetcher(self.options["fetch"])(self.kind, partition.page, self.options)
+        rows, _ = _requests(self.options, partition.pages)(self.kind, partition.page, self.options)
         for r in rows:
             yield tuple(r.get(c) for c in self.columns)
 
 
+class _Stream(SimpleDataSourceStreamReader):
+    """One page a batch, as far as there are pages; a page number is all there is to resume from."""
+
+    def __init__(self, options: dict, kind: str) -> None:
+        self.reader, self._fetch = _Reader(options, kind), None
+
+    @property
+    def fetch(self) -> Callable:  # made where it runs
+        if self._fetch is None:
+            self._fetch = _requests(self.reader.options, 1)
+        return self._fetch
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"_fetch": None}
+
+    def initialOffset(self) -> dict:
+        return {"page": 0}
+
+    def read(self, start: dict) -> tuple[Iterator[tuple], dict]:
+        rows, pages = self.fetch(self.reader.kind, start["page"] + 1, self.reader.options)
+        if start["page"] >= int(pages):
+            return iter([]), start
+        return iter([tuple(r.get(c) for c in self.reader.columns) for r in rows]), {"page": start["page"] + 1}
+
+    def readBetweenOffsets(self, start: dict, end: dict) -> Iterator[tuple]:
+        for page in range(start["page"], end["page"]):
+            yield from self.read({"page": page})[0]
+
+
 class FinancePages(DataSource):
     """``spark.read.format("finance_pages").option("kind", "candidates").option("fetch", "module:function")``."""
 
@@ -102,6 +152,9 @@ class FinancePages(DataSource):
     def reader(self, schema: object) -> DataSourceReader:
         return _Reader(self.options, self.options.get("kind", "candidates"))
 
+    def simpleStreamReader(self, schema: object) -> SimpleDataSourceStreamReader:
+        return _Stream(self.options, self.options.get("kind", "candidates"))
+
 
 def recorded_finance(kind: str, page: int, options: dict) -> tuple[list[dict], int]:
     """Pages from a JSON file: kind -> list of pages."""

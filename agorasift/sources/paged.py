@@ -4,17 +4,25 @@ A source is a *fetcher*: ``fetch(query, token, options) -> (rows, next token or
 name it as ``module:function``, so a live client, recorded pages or a test double plug in the same
 way. Token paging is sequential: one partition per query, never per page. A numbered source gives
 ``pages`` and reads its pages in parallel.
+
+Every request waits for its endpoint's rate limit and is tried again after a refusal (:func:`requests_of`).
+A batch that ends early resumes from its log of finished pages (:class:`PageLog`).
 """
 
 from __future__ import annotations
 
+import datetime as dt
+import hashlib
 import importlib
 import json
-from collections.abc import Iterator
+import os
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition, SimpleDataSourceStreamReader
 
+from agorasift.sources.ratelimit import Refused, for_tier, retrying
+
 TWEET = (
     "id string, text string, created_at string, author_id string, author_username string, author_name string, author_verified boolean, conversation_id string, "
     "in_reply_to_user_id string, lang string, source string, retweet_count int, reply_count int, like_count int, quote_count int, hashtags array<string>, mentions array<string>, "
@@ -29,6 +37,66 @@ def fetcher(name: str):  # noqa: ANN201
     return getattr(importlib.import_module(module), function)
 
 
+def requests_of(options: dict, parts: int = 1) -> Callable:
+    """``fetch(query, token, options)`` of the options under its rate limit, tried again after refusals and network errors.
+
+    Options: ``fetch``; ``tier`` and ``endpoint`` (no endpoint: no limit); ``attempts``, ``basedelay``,
+    ``maxdelay`` in seconds. The limit holds over all ``parts`` partitions that run at once, each of
+    which has its share. A refusal that names a delay waits that long.
+    """
+    limiter, endpoint = for_tier(options.get("tier", "basic"), share=1 / max(1, parts)), options.get("endpoint", "")
+    fetch = fetcher(options.get("fetch", "recorded"))
+
+    def once(query: str, token: object, opts: dict) -> tuple:
+        limiter.acquire(endpoint)
+        return fetch(query, token, opts)
+
+    return retrying(once, int(options.get("attempts", "5")), float(options.get("basedelay", "2")), float(options.get("maxdelay", "300")), (OSError, Refused))
+
+
+class PageLog:
+    """Finished pages of one query in a folder, so that a collection that ended early goes on where it stopped.
+
+    Every page is one file, written beside its place and renamed; it holds the rows and the next token.
+    """
+
+    def __init__(self, folder: str, query: str) -> None:
+        self.folder = Path(folder) / hashlib.sha256(query.encode()).hexdigest()[:32]
+        self.folder.mkdir(parents=True, exist_ok=True)
+
+    def _path(self, page: int) -> Path:
+        return self.folder / f"{page:08}.json"
+
+    def get(self, page: int) -> tuple[list[dict], str | None] | None:
+        p = self._path(page)
+        if not p.exists():
+            return None
+        page_ = json.loads(p.read_text())
+        return page_["rows"], page_["next"]
+
+    def put(self, page: int, rows: list[dict], token: str | None) -> None:
+        part = self._path(page).with_suffix(f".{os.getpid()}.part")
+        part.write_text(json.dumps({"rows": rows, "next": token}))
+        os.replace(part, self._path(page))
+
+
+def date_ranges(start: str, end: str, days: int) -> list[tuple[str, str]]:
+    """The period from ``start`` up to, not including, ``end`` in stretches of ``days`` days, so an archive is read in parallel."""
+    a, b, out = dt.date.fromisoformat(start), dt.date.fromisoformat(end), []
+    if days < 1:
+        raise ValueError("at least one day")
+    while a < b:
+        upto = min(b, a + dt.timedelta(days=days))
+        out.append((a.isoformat(), upto.isoformat()))
+        a = upto
+    return out
+
+
+def archive_texts(queries: list[str], start: str, end: str, days: int = 30, lang: str | None = None) -> list[str]:
+    """One search per query and stretch of the period; each becomes a partition of its own."""
+    return [search_text(q, a, b, lang) for q in queries for a, b in date_ranges(start, end, days)]
+
+
 def recorded_pages(query: str, token: str | None, options: dict) -> tuple[list[dict], str | None]:
     """Pages from a JSON file: query -> list of API pages (``data, includes, meta``)."""
     pages = json.loads(Path(options["path"]).read_text()).get(query, [])
@@ -79,12 +147,18 @@ class _Reader(DataSourceReader):
         self.options = dict(options)
 
     def partitions(self) -> list[_Query]:
-        return [_Query(q) for q in json.loads(self.options["queries"])]
+        return [_Query(q) for q in dict.fromkeys(json.loads(self.options["queries"]))]
 
     def read(self, partition: _Query) -> Iterator[tuple]:
-        fetch, most, n, token = fetcher(self.options.get("fetch", "recorded")), int(self.options.get("maxresults", "0")), 0, None
+        fetch = requests_of(self.options, len(json.loads(self.options["queries"])))
+        log = PageLog(self.options["resume"], partition.query) if self.options.get("resume") else None
+        most, n, page, token = int(self.options.get("maxresults", "0")), 0, 0, None
         while True:
-            rows, token = fetch(partition.query, token, self.options)
+            done = log.get(page) if log else None
+            rows, token = done or fetch(partition.query, token, self.options)
+            if log and done is None:
+                log.put(page, rows, token)
+            page += 1
             for r in rows:
                 if most and n >= most:
                     return
@@ -95,20 +169,44 @@ class _Reader(DataSourceReader):
 
 
 class _Stream(SimpleDataSourceStreamReader):
-    """One query; the offset holds the next page's token, so rows and offset are committed together."""
+    """All queries in turn; the offset holds every query's next token, so rows and offset are committed together.
+
+    A batch that is replayed gives the rows it gave: pages come from the log in ``resume``, which a
+    fetcher whose pages may change needs; ``replay`` = ``same`` states that they do not change.
+    """
 
     def __init__(self, options: dict) -> None:
         self.options = dict(options)
-        self.query = json.loads(self.options["queries"])[0]
+        self.queries = list(dict.fromkeys(json.loads(self.options["queries"])))
+        if not self.options.get("resume") and self.options.get("replay", "same" if self.options.get("fetch", "recorded") == "recorded" else "") != "same":
+            raise ValueError("a live fetcher needs the option resume: a folder for its pages")
+        self._fetch: Callable | None = None
+        self.logs = [PageLog(self.options["resume"], q) if self.options.get("resume") else None for q in self.queries]
+
+    @property
+    def fetch(self) -> Callable:  # made where it runs, as its lock does not travel
+        if self._fetch is None:
+            self._fetch = requests_of(self.options)
+        return self._fetch
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"_fetch": None}
 
     def initialOffset(self) -> dict:
-        return {"token": "", "n": "0"}
+        return {"tokens": [""] * len(self.queries), "pages": [0] * len(self.queries), "n": "0"}
 
     def read(self, start: dict) -> tuple[Iterator[tuple], dict]:
-        if start["token"] == "end":
-            return iter([]), start
-        rows, token = fetcher(self.options.get("fetch", "recorded"))(self.query, start["token"] or None, self.options)
-        return iter([_row(r, self.query) for r in rows]), {"token": token or "end", "n": str(int(start["n"]) + len(rows))}
+        tokens, pages, out = list(start["tokens"]), list(start["pages"]), []
+        for i, q in enumerate(self.queries):
+            if tokens[i] == "end":
+                continue
+            done = self.logs[i].get(pages[i]) if self.logs[i] else None
+            rows, token = done or self.fetch(q, tokens[i] or None, self.options)
+            if self.logs[i] and done is None:
+                self.logs[i].put(pages[i], rows, token)
+            tokens[i], pages[i] = token or "end", pages[i] + 1
+            out += [_row(r, q) for r in rows]
+        return iter(out), {"tokens": tokens, "pages": pages, "n": str(int(start["n"]) + len(out))}
 
     def readBetweenOffsets(self, start: dict, end: dict) -> Iterator[tuple]:
         at, out = start, []
@@ -119,7 +217,7 @@ class _Stream(SimpleDataSourceStreamReader):
 
 
 class TweetPages(DataSource):
-    """``spark.read.format("tweet_pages").option("queries", '["q1", "q2"]')`` with ``fetch``, ``maxresults`` and the fetcher's own options."""
+    """``spark.read.format("tweet_pages").option("queries", '["q1", "q2"]')`` with ``fetch``, ``maxresults``, ``resume`` (a folder for finished pages), limits and retries as in :func:`requests_of`, and the fetcher's own options."""
 
     @classmethod
     def name(cls) -> str:

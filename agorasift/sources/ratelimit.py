@@ -25,6 +25,14 @@ class RateLimitExceeded(Exception):
         self.endpoint, self.retry_after = endpoint, retry_after
 
 
+class Refused(Exception):
+    """A source refused a request (too many, or busy); ``retry_after`` seconds if it says how long."""
+
+    def __init__(self, message: str = "refused", retry_after: float | None = None) -> None:
+        super().__init__(message)
+        self.retry_after = retry_after
+
+
 @dataclass
 class Bucket:
     """``capacity`` tokens, refilled steadily over ``window`` seconds."""
@@ -138,17 +146,18 @@ class SlidingWindow:
 
 
 def retrying(f: Callable, attempts: int = 5, base: float = 2.0, most: float = 60.0, errors: tuple = (OSError,), sleep: Callable[[float], None] = time.sleep) -> Callable:
-    """``f`` tried again after an error of ``errors``, with doubling delays."""
+    """``f`` tried again after an error of ``errors``, with doubling delays, or the delay that the error names (``retry_after``)."""
 
     @functools.wraps(f)
     def call(*a: object, **kw: object) -> object:
         for n in range(attempts):
             try:
                 return f(*a, **kw)
-            except errors:
+            except errors as e:
                 if n == attempts - 1:
                     raise
-                sleep(min(base * 2**n, most))
+                named = getattr(e, "retry_after", None)
+                sleep(min(base * 2**n, most) if named is None else named)
         raise AssertionError
 
     return call

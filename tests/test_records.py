@@ -110,6 +110,83 @@ def test_catalog(spark):
     assert CA.user_stats(u.limit(0)).first()["tweets"] == 0
 
 
+def test_catalog_log(spark, tmp_path):
+    c = CA.Catalog(spark, str(tmp_path / "log"))
+    a, b = c.create_collection("one", "q1", metadata={"x": 1, "y": 2}), c.create_collection("two", "q2")
+    assert a != b and c.update_collection(a, 7, "completed", {"y": 3}) and not c.update_collection(a) and not c.update_collection(999, 1)
+    c.save_checkpoint(a, "t1", "tok", 5, {"k": 1})
+    c.save_checkpoint(a, "t2", None, 9)
+    get = lambda t: {r["key"]: r["fields"] for r in CA.state(c.events(), t).collect()}
+    one = get("collections")[str(a)]
+    assert one["status"] == "completed" and one["tweet_count"] == "7" and one["metadata.x"] == "1" and one["metadata.y"] == "3" and one["name"] == "one"
+    assert get("checkpoints")[str(a)] == {"last_tweet_id": "t2", "next_token": None, "items_collected": "9"}
+    c.log_query("q1", "search", 3)
+    c.log_query("q1", "search", None, False, "429")
+    for u in ("u", "u", "v"):
+        c.track_user(u)
+    assert c.stats().first().asDict() == {"collections": 2, "completed": 1, "collected": 7, "users": 2, "queries": 2}
+    assert c.delete_collection(a) and not c.delete_collection(a) and not c.delete_checkpoint(a)
+    assert set(get("collections")) == {str(b)} and get("checkpoints") == {}
+    again = CA.Catalog(spark, str(tmp_path / "log"))
+    assert set(r["key"] for r in CA.state(again.events(), "collections").collect()) == {str(b)}
+    again._commit([("put", "schema", "version", {"version": 99})])
+    with pytest.raises(ValueError):
+        CA.Catalog(spark, str(tmp_path / "log"))
+
+
+CALLS: dict = {}
+
+
+def flaky(query, token, options):
+    """Recorded pages, of which each one is refused once."""
+    from agorasift.sources.ratelimit import Refused
+
+    key = (options["path"], query, token)
+    CALLS[key] = CALLS.get(key, 0) + 1
+    if CALLS[key] == 1:
+        raise Refused("429", 0.0)
+    return paged.recorded_pages(query, token, options)
+
+
+def test_sources_retry_resume_and_read_all_queries(spark, tmp_path):
+    page = lambda k: {"data": [{"id": str(k), "text": f"t{k}"}]}
+    f = tmp_path / "pages.json"
+    f.write_text(json.dumps({"q1": [page(1), page(2)], "q2": [page(4)]}))
+    opts = {"path": str(f), "queries": '["q1", "q2", "q1"]', "fetch": f"{__name__}:flaky", "resume": str(tmp_path / "pages"), "endpoint": "search_recent", "tier": "pro"}
+    read = lambda: sorted(r[0] for p in paged._Reader(opts).partitions() for r in paged._Reader(opts).read(p))
+    assert read() == ["1", "2", "4"]
+    calls = dict(CALLS)
+    assert read() == ["1", "2", "4"] and calls == CALLS and set(CALLS.values()) == {2}  # finished pages are not asked for again
+    live = paged._Stream(opts | {"resume": str(tmp_path / "more")})
+    rows, at = live.read(live.initialOffset())
+    assert sorted(r[0] for r in rows) == ["1", "4"]
+    rows, end = live.read(at)
+    assert [r[0] for r in rows] == ["2"] and end["tokens"] == ["end", "end"]
+    assert sorted(r[0] for r in live.readBetweenOffsets(live.initialOffset(), end)) == ["1", "2", "4"]
+    with pytest.raises(ValueError):
+        paged._Stream({k: v for k, v in opts.items() if k != "resume"})
+    assert paged.date_ranges("2024-01-01", "2024-02-05", 14) == [("2024-01-01", "2024-01-15"), ("2024-01-15", "2024-01-29"), ("2024-01-29", "2024-02-05")]
+    assert paged.archive_texts(["a"], "2024-01-01", "2024-01-03", 1) == ["a since:2024-01-01 until:2024-01-02", "a since:2024-01-02 until:2024-01-03"]
+    g = tmp_path / "f.json"
+    g.write_text(json.dumps({"candidates": [[{"candidate_id": "A"}], [{"candidate_id": "B"}]]}))
+    s = finance._Stream({"fetch": "agorasift.sources.finance:recorded_finance", "path": str(g)}, "candidates")
+    rows, at = s.read(s.initialOffset())
+    assert [r[0] for r in rows] == ["A"] and [r[0] for r in s.readBetweenOffsets({"page": 0}, {"page": 2})] == ["A", "B"]
+
+
+def test_merge_keeps_the_first_row(spark, tmp_path):
+    rows = [(str(i % 15), i) for i in range(30)]
+    df = spark.createDataFrame(rows, "id string, v int").coalesce(1)
+    df.write.parquet(str(tmp_path / "a"))
+    for x in (df, spark.read.parquet(str(tmp_path / "a"))):
+        assert {r["id"]: r["v"] for r in S.merge([x, df]).collect()} == {str(i): i for i in range(15)}
+
+
+def test_scores_that_are_no_number_match_nothing(spark):
+    df = spark.createDataFrame([("a", float("nan")), ("b", None), ("c", 0.7), ("d", 0.1)], "tweet_id string, political_score float")
+    assert [r["tweet_id"] for r in store.query_tweets(df, min_score=0.5).collect()] == ["c"]
+
+
 def test_retention(spark):
     df = spark.createDataFrame([("raw", dt.datetime(2024, 1, 1)), ("metadata", dt.datetime(2024, 1, 1)), ("odd", None)], "k string, at timestamp")
     rows = R.expiration(df, "at", F.col("k"), F.lit("2025-01-15").cast("timestamp")).collect()
@@ -176,12 +253,12 @@ def test_rate_limits():
 
 def test_config(tmp_path):
     f = tmp_path / "c.json"
-    f.write_text(json.dumps({"source": {"api_tier": "pro"}, "log_level": "DEBUG"}))
-    cfg = config.load(f, None, {"AGORASIFT_SOURCE_BEARER_TOKEN": "t", "AGORASIFT_LOG_LEVEL": "INFO"})
-    assert cfg.source.api_tier == "pro" and cfg.source.bearer_token == "t" and cfg.log_level == "INFO" and cfg.storage.parquet_compression == "snappy"
-    assert any("salt" in x for x in config.validate(cfg)) and config.deep_merge({"a": {"b": 1, "c": 2}}, {"a": {"b": 3}}) == {"a": {"b": 3, "c": 2}}
-    cfg.source.api_tier = "x"
-    assert any("tier" in x for x in config.validate(cfg))
+    f.write_text(json.dumps({"requests": {"tier": "pro", "odd": 1}, "clean.min_length": 3}))
+    cfg = config.load([f, tmp_path / "missing"], {"AGORASIFT_REQUESTS_ATTEMPTS": "7", "AGORASIFT_REQUESTS_FETCH": "m:f"})
+    assert cfg["requests.tier"] == "pro" and cfg["requests.attempts"] == 7 and cfg["clean.min_length"] == 3 and "requests.odd" not in cfg
+    assert config.source_options(cfg) == {"tier": "pro", "attempts": "7", "basedelay": "2.0", "maxdelay": "300.0", "fetch": "m:f"}
+    assert [x for x in config.problems(cfg) if "salt" not in x] == [] and any("salt" in x for x in config.problems(cfg))
+    assert len(config.problems(cfg | {"requests.tier": "x", "requests.attempts": 0, "privacy.salt": "s"})) == 2
 
 
 def test_streams(spark, tmp_path):
