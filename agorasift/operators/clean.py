@@ -206,6 +206,17 @@ def keep_clean(df: DataFrame, text: str = "text", language: str = "en", cfg: Cle
     return rows.where(F.length("cleaning.cleaned") >= cfg.min_length)
 
 
+def of_language(df: DataFrame, language: str, column: str = "lang") -> DataFrame:
+    """Rows whose stated language is ``language`` (``all``: every row)."""
+    return df if language == "all" else df.where(F.col(column) == language)
+
+
+def number_stats(df: DataFrame, column: str, digits: int = 6) -> DataFrame:
+    """``n, least, most, mean`` of a numeric column; null and NaN do not count."""
+    v = F.col(column).cast("double")
+    return df.where(v.isNotNull() & ~F.isnan(v)).agg(F.count("*").alias("n"), F.min(v).alias("least"), F.max(v).alias("most"), F.round(F.avg(v), digits).alias("mean"))
+
+
 def text_stats(df: DataFrame, text: str = "text") -> DataFrame:
     """``items, min_length, max_length, avg_length`` of the non-null texts."""
     n = F.length(text)

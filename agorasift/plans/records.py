@@ -118,12 +118,11 @@ def normalize_tweets(s: SparkSession, d: str) -> DataFrame:
 
 
 def count_by_day(s: SparkSession, d: str) -> DataFrame:
-    w = F.window("created_at", "1 day")
-    return table(s, d, "tweets").where("created_at is not null").groupBy(w.alias("w")).agg(F.count("*").alias("n")).select(F.date_format("w.start", "yyyy-MM-dd").alias("day"), "n")
+    return catalog.counts_per(table(s, d, "tweets"), "day", "created_at").select(F.date_format("start", "yyyy-MM-dd").alias("day"), "n")
 
 
 def count_by_hour_events(s: SparkSession, d: str) -> DataFrame:
-    return table(s, d, "events").groupBy(F.date_trunc("hour", "ts").alias("hour"), "event_type").agg(F.count("*").alias("n"))
+    return catalog.counts_per(table(s, d, "events"), "hour", "ts", ("event_type",)).withColumnRenamed("start", "hour")
 
 
 def latest_tweets(s: SparkSession, d: str) -> DataFrame:
@@ -174,14 +173,11 @@ def metadata_fields(s: SparkSession, d: str) -> DataFrame:
 
 
 def tweet_user_lookup(s: SparkSession, d: str) -> DataFrame:
-    u = table(s, d, "users").select("user_id_hash", "tweet_count")
-    t = table(s, d, "tweets").select("tweet_id", "collected_at", "author_id_hash")
-    return t.join(u, t["author_id_hash"] == u["user_id_hash"], "left").select("tweet_id", "collected_at", "tweet_count")
+    return catalog.with_user(table(s, d, "tweets").select("tweet_id", "collected_at", "author_id_hash"), table(s, d, "users")).select("tweet_id", "collected_at", "tweet_count")
 
 
 def collection_counts(s: SparkSession, d: str) -> DataFrame:
-    t = table(s, d, "tweets").groupBy(F.col("collection_query").alias("query")).agg(F.count_distinct("tweet_id").alias("tweets"))
-    return table(s, d, "collections").select("id", "query", "tweet_count").join(t, "query", "left").select("id", "tweet_count", F.coalesce("tweets", F.lit(0)).alias("tweets"))
+    return catalog.collected(table(s, d, "collections"), table(s, d, "tweets"))
 
 
 def finance_candidates(s: SparkSession, d: str) -> DataFrame:
@@ -284,6 +280,9 @@ ORACLES: dict[str, str] = {
     "by_class_undersample": f"SELECT doc_id, lang AS \"class\" FROM documents WHERE lang IS NOT NULL QUALIFY row_number() OVER (PARTITION BY lang ORDER BY {_HASH.format('doc_id')}, doc_id) <= 20",
     "by_class_lists": f"""WITH {_LATEST}, x AS (SELECT DISTINCT tweet_id, c FROM (SELECT tweet_id, unnest(political_topics) AS c FROM latest) WHERE c IS NOT NULL), z AS (SELECT min(n) AS n FROM (SELECT count(*) AS n FROM x GROUP BY c))
       SELECT tweet_id, c AS "class" FROM x QUALIFY row_number() OVER (PARTITION BY c ORDER BY {_HASH.format('tweet_id')}, tweet_id) <= (SELECT n FROM z)""",
+    "by_class_oversample": f"""WITH r AS (SELECT doc_id, lang AS c, row_number() OVER (PARTITION BY lang ORDER BY {_HASH.format('doc_id')}, doc_id) AS k, count(*) OVER (PARTITION BY lang) AS n FROM documents WHERE lang IS NOT NULL),
+      dr AS (SELECT c, n, i::INTEGER AS draw, ('0x' || substr(md5('42|' || c || '|' || i), 1, 12))::BIGINT % n + 1 AS k FROM (SELECT DISTINCT c, n FROM r WHERE n < 60) CROSS JOIN (SELECT unnest(range(1, 61)) AS i))
+      SELECT doc_id, c AS "class", 1 AS draw FROM r WHERE n >= 60 AND k <= 60 UNION ALL SELECT doc_id, dr.c, draw FROM dr JOIN r USING (c, k)""",
     "political_labels": f"WITH {_SIDES} SELECT political_label, count(*) AS n FROM sides WHERE political_label IS NOT NULL GROUP BY 1",
     "political_balance": f"""WITH {_SIDES}, z AS (SELECT least(count(*) FILTER (political_label = 'left'), count(*) FILTER (political_label = 'right')) AS n FROM sides)
       SELECT tweet_id, political_label FROM sides WHERE political_label IS NOT NULL QUALIFY row_number() OVER (PARTITION BY political_label ORDER BY {_HASH.format('tweet_id')}, tweet_id) <= (SELECT n FROM z)""",

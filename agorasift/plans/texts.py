@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,8 @@ from agorasift.sources.tables import spread, table
 
 SALT = "pepper"
 KEY = ["tweet_id", "collected_at"]
+#: The cleaner with every stage off that can be: it squeezes repeated marks only.
+BARE = clean.CleanConfig(unescape_html=False, normalize_unicode=False, remove_retweet_prefix=False, remove_urls=False, normalize_hashtags=False, normalize_whitespace=False, detect_language=False)
 
 
 def tweets(spark: SparkSession, d: str) -> DataFrame:
@@ -61,7 +64,8 @@ def clean_whitespace(s: SparkSession, d: str) -> DataFrame:
 
 
 def clean_lower_truncate(s: SparkSession, d: str) -> DataFrame:
-    return table(s, d, "documents").select("doc_id", F.substring(F.lower("text"), 1, 100).alias("cleaned"))
+    cfg = replace(BARE, lowercase=True, max_length=100)
+    return clean.clean(table(s, d, "documents"), "text", cfg).select("doc_id", "cleaning.cleaned")
 
 
 def clean_emoji(s: SparkSession, d: str) -> DataFrame:
@@ -100,11 +104,12 @@ def hashtag_words(s: SparkSession, d: str) -> DataFrame:
 
 
 def filter_min_length(s: SparkSession, d: str) -> DataFrame:
-    return table(s, d, "documents").where(F.length("text") >= 200).select("doc_id", F.length("text").alias("chars"))
+    rows = clean.keep_clean(table(s, d, "documents"), "text", "all", replace(BARE, min_length=200))
+    return rows.select("doc_id", F.length("cleaning.cleaned").alias("chars"))
 
 
 def filter_language(s: SparkSession, d: str) -> DataFrame:
-    return tweets(s, d).where("lang = 'de'").select(*KEY, "text_raw")
+    return clean.of_language(tweets(s, d), "de").select(*KEY, "text_raw")
 
 
 def language_guess(s: SparkSession, d: str) -> DataFrame:
@@ -121,9 +126,7 @@ def stats_language_top10(s: SparkSession, d: str) -> DataFrame:
 
 
 def stats_score(s: SparkSession, d: str) -> DataFrame:
-    ok = table(s, d, "tweets").where("political_score is not null and not isnan(political_score)")
-    v = F.col("political_score").cast("double")
-    return ok.agg(F.count("*").alias("n"), F.min(v).alias("least"), F.max(v).alias("most"), F.round(F.avg(v), 6).alias("mean"))
+    return clean.number_stats(table(s, d, "tweets"), "political_score")
 
 
 def stats_topics(s: SparkSession, d: str) -> DataFrame:
@@ -281,14 +284,14 @@ ORACLES: dict[str, str] = {
     "clean_hashtags": f"SELECT {_EVERY}, regexp_replace(text_raw, '#({_W}+)', '\\1', 'g') AS cleaned FROM tweets",
     "clean_repeated_marks": "SELECT doc_id, regexp_replace(text, '([!?.]){2,}', '\\1', 'g') AS cleaned FROM documents",
     "clean_whitespace": f"SELECT doc_id, trim(regexp_replace(text, '{_S}+', ' ', 'g'), ' ') AS cleaned FROM documents",
-    "clean_lower_truncate": "SELECT doc_id, substr(lower(text), 1, 100) AS cleaned FROM documents",
+    "clean_lower_truncate": "SELECT doc_id, substr(lower(regexp_replace(text, '([!?.]){2,}', '\\1', 'g')), 1, 100) AS cleaned FROM documents",
     "clean_emoji": f"SELECT {_EVERY}, regexp_replace(text_raw, '{_EMOJI}', ' ', 'g') AS cleaned, len(regexp_extract_all(text_raw, '{_EMOJI}')) AS emoji FROM tweets",
     "clean_html": f"SELECT {_EVERY}, replace(replace(replace(replace(replace(text_raw, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), '&amp;', '&') AS cleaned FROM tweets",
     "extract_urls": _extract(_URL, 0, "url"),
     "extract_mentions": _extract(f"@({_W}+)", 1, "mention"),
     "extract_hashtags": _extract(f"#({_W}+)", 1, "tag"),
     "hashtag_words": f"SELECT DISTINCT tag, lower(trim(regexp_replace(replace(regexp_replace(regexp_replace(tag, '^#+', ''), '([A-Z])', ' \\1', 'g'), '_', ' '), '{_S}+', ' ', 'g'), ' ')) AS words FROM (SELECT unnest(hashtags) AS tag FROM tweets)",
-    "filter_min_length": "SELECT doc_id, length(text)::INTEGER AS chars FROM documents WHERE length(text) >= 200",
+    "filter_min_length": "SELECT doc_id, length(regexp_replace(text, '([!?.]){2,}', '\\1', 'g'))::INTEGER AS chars FROM documents WHERE length(regexp_replace(text, '([!?.]){2,}', '\\1', 'g')) >= 200",
     "filter_language": f"SELECT {_EVERY}, text_raw FROM tweets WHERE lang = 'de'",
     "stats_text_length": "SELECT count(*) AS items, min(length(text))::INTEGER AS min_length, max(length(text))::INTEGER AS max_length, round(avg(length(text)), 4) AS avg_length FROM documents",
     "stats_language_top10": "SELECT coalesce(lang, 'unknown') AS value, count(*) AS n, round(100 * count(*) / sum(count(*)) OVER (), 4) AS percent FROM tweets GROUP BY 1 ORDER BY n DESC, value LIMIT 10",
@@ -313,6 +316,7 @@ ORACLES: dict[str, str] = {
       SELECT label, text, CASE WHEN label = 'ORG' AND regexp_matches(lower(text), 'party|committee|commission|congress') THEN 'political_org' WHEN label = 'PERSON' AND contains(before, 'senator') THEN 'politician' WHEN label = 'GPE' THEN 'jurisdiction' END AS political_type FROM r""",
     "contains_pii": f"""SELECT {_EVERY} FROM tweets WHERE regexp_matches(text_raw, '{_PII["EMAIL"]}') OR regexp_matches(text_raw, '(\\+?1[-.\\s]?)?\\(?\\d{{3}}\\)?[-.\\s]?\\d{{3}}[-.\\s]?\\d{{4}}')
       OR regexp_matches(text_raw, '\\b\\d{{3}}[-\\s]?\\d{{2}}[-\\s]?\\d{{4}}\\b') OR regexp_matches(text_raw, '\\b\\d{{4}}[-\\s]?\\d{{4}}[-\\s]?\\d{{4}}[-\\s]?\\d{{4}}\\b') OR regexp_matches(text_raw, '{_PII["IP_ADDRESS"]}')""",
+    "pii_types": "SELECT pii_type, n FROM (" + " UNION ALL ".join(f"SELECT '{k}' AS pii_type, sum(len(regexp_extract_all(text_raw, '{v}')))::BIGINT AS n FROM tweets" for k, v in privacy.PATTERNS.items()) + ") WHERE n > 0",
     "redact_email_ip": f"SELECT {_EVERY}, regexp_replace(regexp_replace(text_raw, '{_PII['EMAIL']}', '[REDACTED]_EMAIL', 'g'), '{_PII['IP_ADDRESS']}', '[REDACTED]_IP_ADDRESS', 'g') AS text FROM tweets",
     "hash_authors": f"SELECT DISTINCT author_id_hash, 'uid_' || substr(sha256('{SALT}' || author_id_hash), 1, 16) AS uid, 'user_' || substr(md5('{SALT}' || author_id_hash), 1, 16) AS name FROM tweets",
     "pseudonym_rank": "SELECT author_id_hash, 'Person_' || lpad((row_number() OVER (ORDER BY f, author_id_hash))::VARCHAR, 4, '0') AS pseudonym FROM (SELECT author_id_hash, min(collected_at) AS f FROM tweets WHERE author_id_hash IS NOT NULL GROUP BY 1)",

@@ -12,6 +12,8 @@ import json
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from agorasift.functions.joins import join_hot
+
 #: One change: ``put`` replaces the record, ``patch`` sets some of its fields, ``delete`` removes it.
 EVENTS = "seq long, kind string, table string, key string, fields map<string,string>, at timestamp"
 #: Version of the layout of the log.
@@ -173,6 +175,25 @@ def catalog_stats(collections: DataFrame, users: DataFrame, log: DataFrame) -> D
     return a.join(F.broadcast(b)).join(F.broadcast(c))  # one row each
 
 
+def counts_per(rows: DataFrame, unit: str, ts: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """``start``, the columns ``by`` and ``n``: rows per minute, hour or day of ``ts``; rows without a time do not count."""
+    if unit not in ("minute", "hour", "day"):
+        raise ValueError(f"unknown unit: {unit}")
+    return rows.where(F.col(ts).isNotNull()).groupBy(F.date_trunc(unit, ts).alias("start"), *by).agg(F.count("*").alias("n"))
+
+
+def with_user(tweets: DataFrame, users: DataFrame, columns: tuple[str, ...] = ("tweet_count",)) -> DataFrame:
+    """``tweets`` with columns of their author's record; without a record they are null. One author may have a third of the rows."""
+    one = users.where("user_id_hash is not null").select(F.col("user_id_hash").alias("author_id_hash"), *columns)
+    return join_hot(tweets, one, "author_id_hash", F.struct("tweet_id", "collected_at"), "left")
+
+
+def collected(collections: DataFrame, tweets: DataFrame) -> DataFrame:
+    """``id, tweet_count, tweets``: the count that a collection states, and the different tweets it has."""
+    n = tweets.groupBy(F.col("collection_query").alias("query")).agg(F.count_distinct("tweet_id").alias("tweets"))
+    return collections.select("id", "query", "tweet_count").join(n, "query", "left").select("id", "tweet_count", F.coalesce("tweets", F.lit(0)).alias("tweets"))
+
+
 def numbered(rows: DataFrame, order: list[str], start: int = 1) -> DataFrame:
     """Consecutive ids for a small batch of new catalogue rows."""
     return rows.withColumn("id", (F.row_number().over(Window.orderBy(*order)) + start - 1).cast("long"))
