@@ -20,7 +20,7 @@ BUILT_IN = {
     "parties": (1.5, "Democrat Republican GOP DNC RNC liberal conservative progressive"),
     "topics": (1.0, "election vote ballot campaign Congress Senate House policy legislation bill"),
 }
-#: Keywords that an automaton may hold; larger dictionaries are matched in parts.
+#: Keywords that an automaton holds, about; larger dictionaries are matched in parts.
 MOST = 1_000_000
 MATCH = T.ArrayType(
     T.StructType().add("keyword", "string").add("category", "string").add("subcategory", "string").add("weight", "double").add("start", "integer").add("end", "integer")
@@ -59,6 +59,13 @@ def last_wins(entries: DataFrame, order: Column) -> DataFrame:
     return kept.select("keyword", "e.category", "e.subcategory", "e.weight")
 
 
+def add_keywords(dictionary: DataFrame, words: list[str], category: str, subcategory: str | None = None, weight: float = 1.0) -> DataFrame:
+    """``dictionary`` with further keywords, which replace equal ones; a category that is new comes into being."""
+    new = dictionary.sparkSession.createDataFrame([(w.lower(), category, subcategory, float(weight)) for w in words], "keyword string, category string, subcategory string, weight double")
+    both = dictionary.select("keyword", "category", "subcategory", "weight").withColumn("_o", F.lit(0)).unionByName(new.withColumn("_o", F.lit(1)))
+    return last_wins(both, F.struct("_o", "weight", "category", "subcategory"))
+
+
 class Automaton:
     """Earliest-end, then longest, non-overlapping matches."""
 
@@ -74,6 +81,12 @@ class Automaton:
                 self.machine.make_automaton()
         except ImportError:
             self.machine = None
+            self.trie: dict = {}
+            for k in self.entries:
+                node = self.trie
+                for ch in k:
+                    node = node.setdefault(ch, {})
+                node[""] = k
 
     def occurrences(self, low: str) -> list[tuple[int, int, str]]:
         """(end, start, keyword) of all occurrences."""
@@ -82,41 +95,75 @@ class Automaton:
         if self.machine is not None:
             return [(e + 1, e + 1 - len(k), k) for e, k in self.machine.iter(low)]
         out = []
-        for k in self.entries:
-            at = low.find(k)
-            while at >= 0:
-                out.append((at + len(k), at, k))
-                at = low.find(k, at + 1)
+        for start in range(len(low)):
+            node, at = self.trie, start
+            while at < len(low) and (node := node.get(low[at])) is not None:
+                at += 1
+                if "" in node:
+                    out.append((at, start, node[""]))
         return out
 
-    def match(self, text: str, whole_words: bool = False) -> list[dict]:
-        low = text.lower()
+    def hits(self, text: str, whole_words: bool = False, case_sensitive: bool = False) -> list[dict]:
+        """All occurrences, by end and then start."""
+        low = text if case_sensitive else text.lower()
         if len(low) != len(text):  # a letter whose lower case is longer would shift the places
             low = "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
-        out, last = [], 0
+        out = []
         for end, start, k in sorted(self.occurrences(low)):
-            if start < last or (whole_words and ((start and low[start - 1].isalnum()) or (end < len(low) and low[end].isalnum()))):
+            if whole_words and ((start and low[start - 1].isalnum()) or (end < len(low) and low[end].isalnum())):
                 continue
             c, s, w = self.entries[k]
             out.append({"keyword": text[start:end], "category": c, "subcategory": s, "weight": w, "start": start, "end": end})
-            last = end
         return out
 
+    def match(self, text: str, whole_words: bool = False, case_sensitive: bool = False) -> list[dict]:
+        return settled(self.hits(text, whole_words, case_sensitive))
+
+
+def settled(hits: list[dict]) -> list[dict]:
+    """The hits that stay: each begins behind the one before."""
+    out, last = [], 0
+    for h in hits:
+        if h["start"] >= last:
+            out.append(h)
+            last = h["end"]
+    return out
+
+
+def match(df: DataFrame, dictionary: DataFrame, text: str = "text", out: str = "matches", whole_words: bool = False, case_sensitive: bool = False, most: int = MOST) -> DataFrame:
+    """``df`` with the array ``out`` of matches in order; null text gives null, an empty dictionary no match.
+
+    ``case_sensitive``: keywords count as they are written in the dictionary. A dictionary of more than
+    ``most`` keywords is matched in parts, whose hits are then settled together.
+    """
+    word = F.col("keyword") if case_sensitive else F.lower("keyword")
+    listed = dictionary.where("keyword is not null").select(word.alias("keyword"), "category", "subcategory", F.col("weight").cast("double").alias("weight"))
+    parts = -(-listed.count() // most) or 1
+
+    def finder(part: int):  # noqa: ANN202
+        rows = listed.where(F.pmod(F.xxhash64("keyword"), F.lit(parts)) == part).orderBy("keyword").collect()  # about ``most`` rows
+        entries = [tuple(r) for r in rows]
+
+        @F.pandas_udf(MATCH)
+        def find(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            machine = Automaton(entries)
+            one = machine.match if parts == 1 else machine.hits
+            for s in batches:
+                yield s.map(lambda x: None if x is None else one(x, whole_words, case_sensitive))
+
+        return find
 
-def match(df: DataFrame, dictionary: DataFrame, text: str = "text", out: str = "matches", whole_words: bool = False) -> DataFrame:
-    """``df`` with the array ``out`` of matches in order; null text gives null, an empty dictionary no match."""
-    rows = dictionary.select(F.lower("keyword"), "category", "subcategory", F.col("weight").cast("double")).orderBy("lower(keyword)").limit(MOST + 1).collect()
-    if len(rows) > MOST:
-        raise ValueError(f"more than {MOST} keywords; match in parts")
-    entries = [tuple(r) for r in rows]
+    if parts == 1:
+        return df.withColumn(out, finder(0)(F.col(text)))
 
     @F.pandas_udf(MATCH)
-    def find(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        machine = Automaton(entries)
-        for s in batches:
-            yield s.map(lambda x: None if x is None else machine.match(x, whole_words))
+    def settle(s: pd.Series) -> pd.Series:
+        return s.map(lambda x: None if x is None else settled(sorted(x, key=lambda h: (h["end"], h["start"]))))
 
-    return df.withColumn(out, find(F.col(text)))
+    names = [f"_hits{i}" for i in range(parts)]
+    for i, name in enumerate(names):
+        df = df.withColumn(name, finder(i)(F.col(text)))
+    return df.withColumn(out, settle(F.concat(*names))).drop(*names)
 
 
 def with_context(matches: Column, text: Column, chars: int = 50) -> Column:

@@ -51,14 +51,29 @@ class TweetStore:
 
     def __init__(self, spark: SparkSession, path: str, compression: str = "snappy", rows_per_file: int = 0) -> None:
         self.spark, self.path, self.compression, self.rows_per_file = spark, path, compression, rows_per_file
-
-    def append(self, tweets: DataFrame) -> None:
-        """Add rows in the stored schema; an empty input is an error."""
+        self.recover()
+
+    def recover(self) -> None:
+        """Finish a compaction that ended between its two renames: the new folder takes the store's place, or the old one returns."""
+        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path
+        here = hadoop(self.path)
+        fs = here.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if fs.exists(here):
+            return
+        for kind in ("new", "old"):
+            for found in fs.globStatus(hadoop(f"{self.path}.*.{kind}")) or []:
+                if kind == "old" or fs.exists(hadoop(f"{found.getPath()}/_SUCCESS")):  # written whole
+                    fs.rename(found.getPath(), here)
+                    return
+
+    def append(self, tweets: DataFrame) -> int:
+        """Add rows in the stored schema; gives the store's number of rows then. An empty input is an error."""
         if tweets.isEmpty():
             raise ValueError("no tweets to write")
         dated = tweets.withColumn("year", F.date_format("collected_at", "yyyy")).withColumn("month", F.date_format("collected_at", "MM"))
         w = dated.write.mode("append").option("compression", self.compression).partitionBy("year", "month")
         (w.option("maxRecordsPerFile", self.rows_per_file) if self.rows_per_file else w).parquet(self.path)
+        return self.read(["tweet_id"]).count()  # from the footers
 
     def read(self, columns: list[str] | None = None, where: Column | None = None) -> DataFrame:
         df = self.spark.read.schema(f"{STORED}, year string, month string").parquet(self.path)
@@ -89,10 +104,20 @@ class TweetStore:
         return per.agg(F.count("*").alias("files"), F.sum("b").alias("bytes"), F.round(F.sum("b") / 1048576, 2).alias("megabytes"), F.sum("n").alias("rows"))
 
     def validate(self) -> dict:
-        """Missing stored columns and the number of rows."""
+        """Missing stored columns, rows, files, and of one file its row groups and writer."""
         df = self.spark.read.parquet(self.path)
         missing = [n for n in NAMES if n not in df.columns]
-        return {"valid": not missing, "missing_fields": missing, "rows": df.count()}
+        files = self.files()
+        conf, jvm = self.spark._jsc.hadoopConfiguration(), self.spark._jvm
+        groups = writer = None
+        if files:
+            source = jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(jvm.org.apache.hadoop.fs.Path(files[0]), conf)
+            reader = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(source)
+            try:
+                groups, writer = reader.getRowGroups().size(), reader.getFileMetaData().getCreatedBy()
+            finally:
+                reader.close()
+        return {"valid": not missing, "missing_fields": missing, "rows": df.count(), "files": len(files), "row_groups": groups, "created_by": writer}
 
     def delete(self, file: str) -> bool:
         p = self.spark._jvm.org.apache.hadoop.fs.Path(file)

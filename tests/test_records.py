@@ -182,6 +182,16 @@ def test_merge_keeps_the_first_row(spark, tmp_path):
         assert {r["id"]: r["v"] for r in S.merge([x, df]).collect()} == {str(i): i for i in range(15)}
 
 
+def test_a_broken_compaction_is_finished(spark, tmp_path):
+    rows = store.normalize(spark.createDataFrame([("1", "a"), ("2", "b")], "id string, text string"), "q")
+    s = store.TweetStore(spark, str(tmp_path / "s"))
+    assert s.append(rows) == 2 and s.append(rows) == 4
+    v = s.validate()
+    assert v["valid"] and v["row_groups"] >= 1 and "parquet" in v["created_by"]
+    (tmp_path / "s").rename(tmp_path / "s.1234.old")
+    assert store.TweetStore(spark, str(tmp_path / "s")).read().count() == 4
+
+
 def test_scores_that_are_no_number_match_nothing(spark):
     df = spark.createDataFrame([("a", float("nan")), ("b", None), ("c", 0.7), ("d", 0.1)], "tweet_id string, political_score float")
     assert [r["tweet_id"] for r in store.query_tweets(df, min_score=0.5).collect()] == ["c"]

@@ -128,3 +128,25 @@ def test_tokens(spark):
     df = spark.createDataFrame([("We will not vote, the bill is bad!",), ("",), (None,)], "text string").withColumn("t", T.tokenized(F.col("text")))
     rows = df.select("t", T.ngrams(F.col("t.filtered"), 2).alias("g")).collect()
     assert rows[0]["t"]["filtered"] == ["we", "will", "not", "vote", "bill", "bad"] and rows[0]["g"][0] == "we will" and rows[1]["g"] == []
+
+
+def test_keywords_in_parts_case_and_additions(spark):
+    words = K.add_keywords(K.add_keywords(K.built_in(spark), ["Levy", "river levy", "vote"], "money", "tax", 3.0), ["NATO"], "bodies")
+    rows = {r["keyword"]: r for r in words.collect()}
+    assert rows["vote"]["category"] == "money" and rows["river levy"]["weight"] == 3.0 and rows["nato"]["category"] == "bodies"
+    df = spark.createDataFrame([("The river levy vote in the Senate, says NATO", 1), (None, 2), ("", 3)], "text string, i int")
+    plain = [r["matches"] for r in K.match(df, words).orderBy("i").collect()]
+    assert plain == [r["matches"] for r in K.match(df, words, most=3).orderBy("i").collect()]
+    assert [m["keyword"] for m in plain[0]] == ["river levy", "vote", "Senate", "NATO"] and plain[1] is None and plain[2] == []
+    exact = spark.createDataFrame([("NATO", "bodies", None, 1.0), ("senate", "x", None, 1.0)], "keyword string, category string, subcategory string, weight double")
+    assert [m["keyword"] for m in K.match(df, exact, case_sensitive=True).orderBy("i").first()["matches"]] == ["NATO"]
+
+
+def test_keywords_without_the_native_automaton(monkeypatch):
+    import sys
+
+    entries = [("levy", "a", None, 1.0), ("river levy", "a", None, 1.0), ("vy v", "b", None, 1.0), ("vote", "b", None, 1.0)]
+    text = "the River levy vote and a levy"
+    native = K.Automaton(entries).match(text)
+    monkeypatch.setitem(sys.modules, "ahocorasick", None)
+    assert K.Automaton(entries).match(text) == native and len(native) == 3
