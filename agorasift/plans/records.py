@@ -225,6 +225,8 @@ def stream_dedup(s: SparkSession, d: str) -> DataFrame:
     source = s.readStream.schema(table(s, d, "tweets").schema).parquet(f"{d}/tweets*.parquet")
     rows = streaming.deduplicated(source, "tweet_id", "collected_at", "3650 days").select("tweet_id", "text_raw")
     streaming.append_to(rows, f"{out}/rows", f"{out}/checkpoint").awaitTermination()
+    folder = s._jvm.org.apache.hadoop.fs.Path(out)
+    folder.getFileSystem(s._jsc.hadoopConfiguration()).deleteOnExit(folder)
     return s.read.schema("tweet_id string, text_raw string").parquet(f"{out}/rows").select("tweet_id")
 
 
