@@ -10,7 +10,8 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from functools import lru_cache
+from functools import cache, lru_cache
+from typing import NamedTuple
 
 import pandas as pd
 import regex
@@ -24,8 +25,30 @@ HARD = "".join(regex.findall(r"[\p{SB=STerm}\p{SB=ATerm}]", _EVERY)).replace("."
 #: Closing quotes and brackets: Sentence_Break=Close that does not open.
 CLOSERS = "\"'" + "".join(regex.findall(r"[\p{SB=Close}&&[\p{Pe}\p{Pf}\u201f]]", _EVERY, regex.V1))
 del _EVERY
-_END = re.compile(rf"(?:[{re.escape(HARD)}.…](?:\s?[{re.escape(HARD)}.…](?![^\W\d_]))*)", re.S)
-_CLOSE = re.compile(rf"[{re.escape(CLOSERS)}]+")
+_HARD_SET = frozenset(HARD)
+
+
+class Rules(NamedTuple):
+    """What a text of one kind is read by: its abbreviations, marks that may end, marks that close."""
+
+    never: frozenset[str]
+    end: re.Pattern
+    close: re.Pattern
+
+
+@cache
+def _patterns(last: int) -> tuple[re.Pattern, re.Pattern]:
+    """(end marks, closing marks) up to the code point ``last``: short classes for plain texts, as long ones are slow."""
+    hard, closers = (re.escape("".join(c for c in x if ord(c) <= last)) for x in (HARD, CLOSERS))
+    dots = "." if last < 128 else ".…"
+    return re.compile(rf"(?:[{hard}{dots}](?:\s?[{hard}{dots}](?![^\W\d_]))*)", re.S), re.compile(rf"[{closers}]+")
+
+
+def rules_of(text: str) -> Rules:
+    last = 127 if text.isascii() else 0xFFFF if len(text.encode("utf-16-le", "surrogatepass")) == 2 * len(text) else 0x10FFFF
+    return Rules(abbreviations_of(text), *_patterns(last))
+
+
 _BLANK = re.compile(r"(?:\r?\n|\r|[ ])[^\S\n\r]*(?:(?:\r?\n|\r| )[^\S\n\r]*)+| |\f")
 _MARKER = re.compile(r"[^\S\n]*(?:[-*•‣◦▪·–—+]|\(?\d{1,3}[.)]|\(?[A-Za-z]\)|\([ivx]{1,4}\)|[①-⑳])[^\S\n]+\S")
 _SPANS = re.compile(r"“[^“”]{1,800}”|«[^«»]{1,800}»|„[^„“”]{1,800}[“”]|「[^「」]{1,800}」|『[^『』]{1,800}』|\"[^\"]{1,800}\"|(?<!\w)'[^']{1,120}[.!?]'(?!\w)|‘[^‘’]{1,200}[.!?]’(?!\w)|\([^()]{1,400}\)|（[^（）]{1,400}）")
@@ -52,10 +75,10 @@ SMALL_WORDS = {
     "it": "il lo gli di e che un una per con del della non si è nel sono la i",
     "pt": "o a os as e de que em um uma por com para do da não se é no na",
 }
-_LANGUAGE_OF: dict[str, list[str]] = {}
+_LANGUAGE_OF: dict[str, tuple[str, ...]] = {}
 for _l, _w in SMALL_WORDS.items():
     for _x in _w.split():
-        _LANGUAGE_OF.setdefault(_x, []).append(_l)
+        _LANGUAGE_OF[_x] = (*_LANGUAGE_OF.get(_x, ()), _l)
 _SCRIPTS = (("ru", re.compile("[\u0400-\u04ff]")), ("hi", re.compile("[\u0900-\u097f]")), ("ar", re.compile("[\u0600-\u06ff]")))
 
 
@@ -67,9 +90,9 @@ def _abbreviations(languages: frozenset[str]) -> frozenset[str]:
 def abbreviations_of(text: str) -> frozenset[str]:
     """Abbreviations of the languages that a text is written in, by its scripts and small words; of all of Latin script where it has none."""
     counts: Counter = Counter()
-    for w in text.lower().split():
-        if w in _LANGUAGE_OF:
-            counts.update(_LANGUAGE_OF[w])
+    for languages, n in Counter(map(_LANGUAGE_OF.get, text.lower().split())).items():
+        for l in languages or ():
+            counts[l] += n
     top = max(counts.values(), default=0)
     found = {l for l, n in counts.items() if n * 3 >= top} if top >= 2 else set(SMALL_WORDS)
     if not text.isascii():
@@ -163,7 +186,7 @@ def _speech_ends(text: str, start: int, a: int, b: int, stop: int, low: bool) ->
     return not (not lead and cry and any(w in CRIED for w in m[1:]))
 
 
-def _running(text: str, start: int, stop: int, low: bool, never: frozenset[str], out: list[tuple[int, int]]) -> None:
+def _running(text: str, start: int, stop: int, low: bool, rules: Rules, out: list[tuple[int, int]]) -> None:
     """Units of one paragraph of running text."""
     begin = _next(text, start, stop)
     spans: dict[int, int] = {}
@@ -183,19 +206,19 @@ def _running(text: str, start: int, stop: int, low: bool, never: frozenset[str],
         begin = _next(text, end, stop)
 
     while pos < stop:
-        m = _END.search(text, pos, stop)
+        m = rules.end.search(text, pos, stop)
         while k < len(inside) and (inside[k][1] <= pos):
             k += 1
         if k < len(inside) and (m is None or inside[k][0] < m.start()):
             a, b = inside[k]
             k += 1
             last = text[a + 1 : b - 1].rstrip()[-1:]
-            if last and (last in HARD or last in ".…") and a >= begin:
+            if last and (last in _HARD_SET or last in ".…") and a >= begin:
                 word = re.search(r"([^\s(]+)\.$", text[a:b - 1].rstrip())
                 short = bool(word) and text[a] in "(（" and " " not in text[a:b].strip()
                 if not short and _speech_ends(text, begin, a, b, stop, low):
                     e = b
-                    c = _CLOSE.match(text, e, stop)
+                    c = rules.close.match(text, e, stop)
                     emit(c.end() if c and text[b : b + 1] not in "“«" else e)
                     pos = max(b, begin)
                     continue
@@ -205,7 +228,7 @@ def _running(text: str, start: int, stop: int, low: bool, never: frozenset[str],
             break
         e = m.end()
         mark = m.group()
-        c = _CLOSE.match(text, e, stop)
+        c = rules.close.match(text, e, stop)
         # a closing mark must not open the next quotation
         if c and not (text[c.start()] in "\"'“‘" and (e < stop and text[e - 1].isspace())):
             e = c.end()
@@ -214,7 +237,7 @@ def _running(text: str, start: int, stop: int, low: bool, never: frozenset[str],
         if after >= stop:
             break
         nxt, gap = text[after], after > e
-        hard = any(x in HARD for x in mark)
+        hard = any(x in _HARD_SET for x in mark)
         wide = any(x in "。！？｡．।॥။።" for x in mark)
         if wide or (hard and gap):
             if nxt in ",;，、":
@@ -245,13 +268,13 @@ def _running(text: str, start: int, stop: int, low: bool, never: frozenset[str],
                 low_word = _WORD.match(text, after, stop) if low else None
                 if not low_word or low_word.group() not in BEGINS or not text[dot - 1 : dot].isalpha():
                     continue
-            if _abbreviation(text, begin, dot, after, stop, low, never):
+            if _abbreviation(text, begin, dot, after, stop, low, rules.never):
                 continue
             emit(e)
             continue
         if nxt in ",;:" or (nxt.islower() and not low):
             continue
-        if e == dot + 1 and _abbreviation(text, begin, dot, after, stop, low, never):
+        if e == dot + 1 and _abbreviation(text, begin, dot, after, stop, low, rules.never):
             continue
         if nxt in "-–—" and not text[after + 1 : after + 2].isalpha() and not text[after + 1 : after + 2] in "¡¿":
             continue
@@ -286,17 +309,17 @@ def sentence_spans(text: str | None) -> list[tuple[int, int]]:
     if not text or text.isspace():
         return []
     out: list[tuple[int, int]] = []
-    never = abbreviations_of(text)
+    rules = rules_of(text)
     at = 0
     for m in [*_BLANK.finditer(text), None]:
         stop = m.start() if m else len(text)
-        _paragraph(text, at, stop, never, out)
+        _paragraph(text, at, stop, rules, out)
         if m:
             at = m.end()
     return out
 
 
-def _paragraph(text: str, start: int, stop: int, never: frozenset[str], out: list[tuple[int, int]]) -> None:
+def _paragraph(text: str, start: int, stop: int, rules: Rules, out: list[tuple[int, int]]) -> None:
     if start >= stop:
         return
     body = text[start:stop]
@@ -317,7 +340,7 @@ def _paragraph(text: str, start: int, stop: int, never: frozenset[str], out: lis
     if lists:
         assert first is not None
         if first:
-            _running(text, start, bounds[first][0], low, never, out)
+            _running(text, start, bounds[first][0], low, rules, out)
         k = first
         while k < len(bounds):  # an item runs on over unmarked lines
             j = k + 1
@@ -334,7 +357,7 @@ def _paragraph(text: str, start: int, stop: int, never: frozenset[str], out: lis
     if n and n * 2 > sum(map(str.isalpha, body)):
         _spaced(text, start, stop, out)
     else:
-        _running(text, start, stop, low, never, out)
+        _running(text, start, stop, low, rules, out)
 
 
 _SPAN = T.ArrayType(T.StructType().add("sent_start", "long").add("sent_end", "long"))
