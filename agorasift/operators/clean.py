@@ -55,8 +55,11 @@ def _nfkc(s: pd.Series) -> pd.Series:
 
 
 def _where(needed: Column, function, c: Column) -> Column:  # noqa: ANN001
-    """``function(c)`` for the rows that need it; the others stay in the JVM."""
-    return F.coalesce(function(F.when(needed, c)), c)
+    """``function(c)`` for the rows that need it; the others stay in the JVM.
+
+    The function counts as nondeterministic, or filters on what is made of its result would run it again.
+    """
+    return F.coalesce(function.asNondeterministic()(F.when(needed, c)), c)
 
 
 def unescape_html(c: Column) -> Column:

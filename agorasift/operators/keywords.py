@@ -151,7 +151,7 @@ def match(df: DataFrame, dictionary: DataFrame, text: str = "text", out: str = "
             for s in batches:
                 yield s.map(lambda x: None if x is None else one(x, whole_words, case_sensitive))
 
-        return find
+        return find.asNondeterministic()  # else a filter on the matches, or exploding them, would run it again
 
     if parts == 1:
         return df.withColumn(out, finder(0)(F.col(text)))

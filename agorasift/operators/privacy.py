@@ -58,7 +58,7 @@ def detect(df: DataFrame, text: str = "text", overlap: str = "keep") -> DataFram
         names = ("pii_type", "text", "start", "end", "confidence")
         return s.map(lambda x: None if x is None else [dict(zip(names, (k, x[a:b], a, b, c))) for k, _, a, b, c in settle(spans_in(x), overlap)])
 
-    return df.withColumn("pii", find(F.col(text)))
+    return df.withColumn("pii", find.asNondeterministic()(F.col(text)))  # else exploding the spans would run it again
 
 
 def contains_pii(c: Column) -> Column:
