@@ -194,6 +194,13 @@ def _left_out(w: str) -> set[str]:
     return out
 
 
+def _numbers() -> dict[str, int]:
+    """A dict that numbers its keys in the order in which they are first looked up."""
+    terms: dict[str, int] = defaultdict()
+    terms.default_factory = terms.__len__
+    return terms
+
+
 def build_index(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The positional inverted index of ``documents``: ``block, docs, starts, terms, counts, at``, one row per block.
 
@@ -214,19 +221,16 @@ def build_index(documents: DataFrame, doc_id: str = "doc_id", text: str = "text"
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = ["block", "docs", "starts", "terms", "counts", "at"]
         part, made, n = TaskContext.get().partitionId(), 0, 0
-        docs, lists, terms = [], [], {}
+        docs, lists, terms = [], [], _numbers()
         for pdf in batches:
             for d, t in zip(pdf["d"], pdf["t"]):
                 words = tokens(t)
-                for w in words:
-                    if w not in terms:
-                        terms[w] = len(terms)
                 docs.append(d)
-                lists.append([terms[w] for w in words])
+                lists.append(list(map(terms.__getitem__, words)))
                 n += len(words)
                 if n >= BLOCK:
                     yield pd.DataFrame([row(f"{part}-{made}", docs, lists, terms)], columns=names)
-                    made, n, docs, lists, terms = made + 1, 0, [], [], {}
+                    made, n, docs, lists, terms = made + 1, 0, [], [], _numbers()
         if docs:
             yield pd.DataFrame([row(f"{part}-{made}", docs, lists, terms)], columns=names)
 
