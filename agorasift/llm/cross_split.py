@@ -1,10 +1,14 @@
 """Same or near-same records across splits (problem 4).
 
 Every text gets a 64-bit similarity hash and, as code blocks, the similarity hashes of its
-segments. Equal blocks of the two sides are joined; a pair stays if its whole codes lie within the
-Hamming radius, or half of the blocks of the shorter text agree (a copy that was cut off), and if its
-numbers can be the same. Only then the texts are compared. Exact copies (equal core words) are one
-class and never paired with each other.
+segments. Blocks that both sides have are joined; a pair stays if its whole codes lie within the
+Hamming radius, or half of the blocks of the shorter text agree (a copy that was cut off), if its
+numbers can be the same, and if its word sketches allow as many common words as the comparison asks
+for. Only then the texts are compared. Exact copies (equal core words) are one class and never paired
+with each other.
+
+Common phrases give blocks that many texts share, and pairs as the square of the texts. They end in
+the join: only pairs that pass all tests of a pair are stored.
 
 The hot case, one message in a great part of all rows, costs one block row per map task and code.
 """
@@ -22,11 +26,13 @@ from pyspark.sql import types as T
 
 from agorasift.functions.joins import join_hot
 from agorasift.llm import messages as M
-from agorasift.session import cut
+from agorasift.session import cut, release
 
 #: Bits in which two 64-bit codes may differ.
 RADIUS = 16
-_CODED = T.StructType().add("id", "string").add("held", "boolean").add("cls", "binary").add("code", "long").add("mask", "integer").add("blocks", T.ArrayType(T.LongType()))
+_CODED = T.StructType().add("id", "string").add("held", "boolean").add("cls", "binary").add("code", "long").add("mask", "integer").add("blocks", T.ArrayType(T.LongType())).add("size", "short")
+for _s in range(M.SKETCH // 64):
+    _CODED = _CODED.add(f"s{_s}", "long")
 
 
 def _code(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -36,13 +42,14 @@ def _code(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words = [M.WORD.findall(t.casefold()) for t in plain]
         cls = [xxhash.xxh3_128_digest("\0".join(w)) for w in words]
         code, blocks = M.codes(words)
-        out = []
-        for held, c, b in zip(pdf["held"], cls, blocks):
+        out, sets = [], []
+        for held, c, b, t, w in zip(pdf["held"], cls, blocks, plain, words):
             new = (c, held) not in seen
             seen.add((c, held))
             out.append([x & 0xFFFFFFFFFF for x in b] if new else [])
+            sets.append(() if not new else set(w) if t.isascii() else {x.casefold() for x in M.WORD.findall(t)})
         mask = pd.Series([M.number_mask(t) for t in plain], dtype="int64").astype("uint32").astype("int32")
-        yield pd.DataFrame({"id": pdf["id"], "held": pdf["held"], "cls": cls, "code": code, "mask": mask, "blocks": out})
+        yield pd.DataFrame({"id": pdf["id"], "held": pdf["held"], "cls": cls, "code": code, "mask": mask, "blocks": out, "size": pd.Series([len(x) for x in sets], dtype="int16")} | {f"s{i}": x for i, x in enumerate(M.sketches(sets))})
 
 
 _core = lru_cache(maxsize=20_000)(M.core)
@@ -65,20 +72,38 @@ def linked(tweets: DataFrame, splits: DataFrame, *, held_out: tuple[str, ...] =
     ``cls`` stands for the core words of a text; texts without a word are in no class. A tweet counts
     under every side it is assigned to; unassigned tweets, other splits, null ids and null texts take no part.
     """
-    sides = splits.where(F.col("split").isin(train, *held_out) & F.col("tweet_id").isNotNull()).select(F.col("tweet_id").alias("id"), (F.col("split") != train).alias("held")).distinct()
+    sides = splits.where(F.col("split").isin(train, *held_out) & F.col("tweet_id").isNotNull()).select(F.col("tweet_id").alias("id"), (F.col("split") != train).alias("held"))
+    sides = sides.groupBy("id").agg(F.min("held").alias("_least"), F.max("held").alias("_most"))  # parted by id, as the join needs it
+    sides = sides.select("id", F.explode(F.array_distinct(F.array("_least", "_most"))).alias("held"))
     texts = tweets.where("tweet_id is not null and text_raw is not null").select(F.col("tweet_id").alias("id"), F.col("text_raw").alias("text"))
     one = texts.dropDuplicates(["id"])
-    coded = cut(one.join(sides, "id").select("id", "held", "text").mapInPandas(_code, _CODED))
+    coded = one.join(sides, "id").select("id", "held", "text").mapInPandas(_code, _CODED)
+    coded = cut(coded.withColumn("no", F.monotonically_increasing_id()))  # numbers stay as they are once stored
+    release(tweets.sparkSession)
     empty = xxhash.xxh3_128_digest("")
     coded = coded.where(F.col("cls") != F.lit(bytearray(empty)))
 
-    blocks = coded.where(F.size("blocks") > 0).select(F.explode("blocks").alias("block"), "held", "code", "mask", F.size("blocks").alias("n")).repartition("block")
-    left = blocks.where("held").select("block", F.col("code").alias("ca"), F.col("mask").alias("ma"), F.col("n").alias("na")).distinct()
-    right = blocks.where("not held").select("block", F.col("code").alias("cb"), F.col("mask").alias("mb"), F.col("n").alias("nb")).distinct()
-    both = F.col("ma").bitwiseAND(F.col("mb"))
-    near = left.join(right, "block").where((both == F.col("ma")) | (both == F.col("mb"))).groupBy("ca", "cb", "na", "nb", "ma", "mb").agg(F.count("*").alias("same"))
+    # numbers of a task's texts lie close together, so these rows pack well; what a pair is tested by follows for shared blocks only
+    sketch = [f"s{i}" for i in range(M.SKETCH // 64)]
+    told = coded.where(F.size("blocks") > 0).select("no", "code", "mask", F.size("blocks").cast("short").alias("n"), "size", *sketch)
+    blocks = coded.where(F.size("blocks") > 0).select(F.explode("blocks").alias("block"), "held", "no").repartition("block")
+    ours, theirs = blocks.where("held"), blocks.where("not held")
+    shared = ours.join(theirs, "block", "left_semi").unionByName(theirs.join(ours, "block", "left_semi"))
+    shared = shared.join(told, "no").drop("no").repartition("block")
+
+    def side(held: bool, s: str) -> DataFrame:
+        of = shared.where(F.col("held") == held).drop("held").distinct()
+        return of.select("block", *(F.col(c).alias(c + s) for c in of.columns if c != "block"))
+
+    both = F.col("maska").bitwiseAND(F.col("maskb"))
+    missing = lambda a, b: sum((F.bit_count(F.col(x + a).bitwiseAND(F.bitwise_not(F.col(x + b)))) for x in sketch), F.lit(0))
+    common = F.least(F.col("sizea") - missing("a", "b"), F.col("sizeb") - missing("b", "a"))  # at most
+    near = side(True, "a").join(side(False, "b"), "block").where((both == F.col("maska")) | (both == F.col("maskb"))).where(common >= M.SHARED * F.least("sizea", "sizeb") - 1e-6)
+    near = near.select(F.col("codea").alias("ca"), F.col("codeb").alias("cb"), F.col("na"), F.col("nb"), F.col("maska").alias("ma"), F.col("maskb").alias("mb"))
+    near = near.groupBy("ca", "cb", "na", "nb", "ma", "mb").agg(F.count("*").alias("same"))
     within = F.bit_count(F.col("ca").bitwiseXOR(F.col("cb"))) <= RADIUS
     near = cut(near.where(within | (F.col("same") * 2 >= F.least("na", "nb"))).select("ca", "cb").distinct())
+    release(tweets.sparkSession)
 
     def sample(held: bool, s: str) -> DataFrame:
         """Classes of one side that have a candidate code, with one text each."""

@@ -22,6 +22,10 @@ WORD = re.compile(r"[぀-ヿ㐀-鿿가-힯]|[^\W_]+")
 SEGMENT = 9
 #: Words in a segment of a text of at most ``BRIEF`` words, besides.
 SHINGLE, BRIEF = 5, 20
+#: Part of the smaller set of words that two copies must have in common, letter by letter.
+SHARED = 0.6
+#: Bits in the sketch of a text's set of words.
+SKETCH = 256
 
 
 _END = re.compile(r"(?:…|\.\.\.)\W*$")
@@ -104,6 +108,22 @@ def _runs(m: np.ndarray, size: int) -> np.ndarray:
     return sums
 
 
+@lru_cache(maxsize=500_000)
+def _bit(word: str) -> int:
+    return 1 << xxhash.xxh64_intdigest(word) % SKETCH
+
+
+def sketches(sets: list[set[str]]) -> np.ndarray:
+    """One bit per word, as columns of 64 bits: a bit that only one sketch has stands for a word that only that set has."""
+    out = []
+    for words in sets:
+        bits = 0
+        for w in words:
+            bits |= _bit(w)
+        out.append(bits.to_bytes(SKETCH // 8, "little"))
+    return np.frombuffer(b"".join(out), "<i8").reshape(len(sets), -1).T
+
+
 _NUMBER = re.compile(r"\d+(?:[.,!:]\d+)*")
 
 
@@ -131,7 +151,7 @@ def same_message(a: list[str], b: list[str], cut_a: bool = False, cut_b: bool =
     if not x or not y:
         return 0.0
     sx, sy = set(x), set(y)
-    if len(sx & sy) < 0.6 * min(len(sx), len(sy)):
+    if len(sx & sy) < SHARED * min(len(sx), len(sy)):
         return 0.0
     if not (cut_a or cut_b):
         extra = sx ^ sy

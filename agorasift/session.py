@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import os
 import shutil
 import sys
 import tempfile
+import time
 import zipfile
 from pathlib import Path
 
+from py4j.clientserver import DEFAULT_WORKER_SLEEP_TIME
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -60,6 +63,16 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let the shuffle files go that nothing refers to any more, as those before a :func:`cut`.
+
+    Spark removes them when the driver's JVM collects its garbage; until then they count as disk.
+    """
+    gc.collect()
+    time.sleep(1.2 * DEFAULT_WORKER_SLEEP_TIME)  # py4j passes on what Python let go so often
+    spark.sparkContext._jvm.System.gc()
+
+
 def ship(spark: SparkSession) -> None:
     """Give the package to the Python workers of this session, unless they surely find it by themselves.
 
