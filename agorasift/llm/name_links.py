@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from agorasift.llm import names as N
 from agorasift.llm.groups import pairs_of_forms
 from agorasift.llm.components import components
-from agorasift.session import cut
+from agorasift.session import cut, release
 
 #: Similarity of the 2-gram sets of a word and its misspelling.
 GRAMS = 0.4
@@ -102,17 +102,23 @@ def _near(x: Column, y: Column) -> Column:
     return (x == y) | (F.levenshtein(x, y, 4) <= F.when(F.least(F.length(x), F.length(y)) >= 9, 4).otherwise(2)) & (F.levenshtein(x, y, 4) >= 0)
 
 
+#: Words that stand for a given name.
+_GIVEN = sorted(N.FORMALS.keys() | N.SHORT_FORMS.keys())
+
+
 def may_agree(a: str, b: str) -> Column:
     """What :func:`names.compare` asks of the forms in columns ``a`` and ``b`` in any case.
 
     All words of organisations must be near; persons of two words and more need a second word that is
-    near, or a given name of one family, or one near a formal name.
+    near, or a given name of one family, or one near a formal name. A given name that is near itself
+    is no second word.
     """
     f = lambda s, x: F.col(s)[x]
     met = F.size(F.filter(f(a, "words"), lambda x: F.exists(f(b, "words"), lambda y: _near(x, y))))
     wide_a, wide_b = (F.concat(f(s, "words"), f(s, "family")) for s in (a, b))
     long = lambda c: F.filter(c, lambda x: F.length(x) > 4)
-    formal = F.arrays_overlap(f(a, "family"), f(b, "family")) | F.exists(long(wide_a), lambda x: F.exists(F.filter(long(f(b, "family")), lambda y: y != x), lambda y: _near(x, y)))
+    alone = F.exists(f(a, "words"), lambda x: x.isin(*_GIVEN) & ~F.exists(f(b, "words"), lambda y: _near(x, y)))
+    formal = (F.arrays_overlap(f(a, "family"), f(b, "family")) & alone) | F.exists(long(wide_a), lambda x: F.exists(F.filter(long(f(b, "family")), lambda y: y != x), lambda y: _near(x, y)))
     formal |= F.exists(long(wide_b), lambda x: F.exists(F.filter(long(f(a, "family")), lambda y: y != x), lambda y: _near(x, y)))
     short = F.least(F.size(f(a, "words")), F.size(f(b, "words"))) < 2
     same = (f(a, "org") == f(b, "org")) & (f(a, "suffix") == f(b, "suffix"))
@@ -120,6 +126,18 @@ def may_agree(a: str, b: str) -> Column:
     return same & F.when(f(a, "org"), whole).otherwise(short | (met >= 2) | formal)
 
 
+def may_link(alike: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
+    """Distinct ``a, b, k``: classes of ``left`` and ``right`` (``cls, w, k, f``) with an ``alike`` word that may be linked.
+
+    Pairs of a common given name grow as the square of a place's classes; all but those that may
+    agree end in the join.
+    """
+    a = left.select("k", F.col("w").alias("wa"), F.col("cls").alias("a"), "loose", F.col("f").alias("fa"))
+    b = right.select("k", F.col("w").alias("wb"), F.col("cls").alias("b"), F.col("f").alias("fb"))
+    met = alike.join(a, ["k", "wa"]).join(b, ["k", "wb"]).where("a <> b and fa.org = fb.org and fa.suffix = fb.suffix")
+    return met.where(F.col("loose") | (F.col("a") < F.col("b"))).where(may_agree("fa", "fb")).select("a", "b", "k").distinct()
+
+
 _OUT = T.StructType().add("a", "long").add("b", "long").add("k", "string").add("weak", "boolean")
 
 
@@ -190,29 +208,24 @@ def place_components(links: DataFrame, hot_links: int = HOT_LINKS) -> DataFrame:
 def linked_classes(cls: DataFrame, hot_links: int = HOT_LINKS) -> DataFrame:
     """``node, root`` for every class that is linked to another."""
     key, df = key_words(cls)
-    place = cls.select("cls", "city", "state", "org", "suffix").join(key, "cls")
+    place = cls.select("cls", "city", "state", F.struct("words", "suffix", "org", "family").alias("f")).join(key, "cls")
     full = F.col("city").isNotNull() & F.col("state").isNotNull()
     own = F.when(full, F.concat_ws("|", F.lit("cs"), "city", "state")).when(F.col("city").isNotNull(), F.concat_ws("|", F.lit("c"), "city")).when(F.col("state").isNotNull(), F.concat_ws("|", F.lit("s"), "state")).otherwise("*")
-    left = cut(place.select("cls", "w", own.alias("k"), (~full).alias("loose"), "city", "state", "org", "suffix"))
+    left = cut(place.select("cls", "w", own.alias("k"), (~full).alias("loose"), "city", "state", "f"))
     # a class answers to its full place, and to places known in part
     every = F.array(F.when(full, F.concat_ws("|", F.lit("cs"), "city", "state")), F.when(F.col("city").isNotNull(), F.concat_ws("|", F.lit("c"), "city")), F.when(F.col("state").isNotNull(), F.concat_ws("|", F.lit("s"), "state")), F.lit("*"))
     asked = left.where("loose").select("k").distinct()
-    wide = left.select("cls", "w", F.explode(every).alias("k"), F.col("k").alias("own"), "org", "suffix").where("k is not null")
+    wide = left.select("cls", "w", F.explode(every).alias("k"), F.col("k").alias("own"), "f").where("k is not null")
     right = cut(wide.where("k like 'cs|%'").unionByName(wide.where("k not like 'cs|%'").join(asked, "k", "left_semi")))
     alike = similar_words(cut(right.groupBy("k", "w").agg(F.max(F.col("k") == F.col("own")).alias("asks"))))
+    release(cls.sparkSession)
     # a class's words and their weights
     weights = cls.select("cls", F.posexplode("words").alias("i", "w")).join(df, "w").groupBy("cls").agg(F.array_sort(F.collect_list(F.struct("i", "w", "weight"))).alias("g"))
-    form = cut(cls.join(weights, "cls").select("cls", F.struct("words", "suffix", "org", "family").alias("f"), _told().alias("t")))
-    pairs = (
-        alike.join(left.select("k", F.col("w").alias("wa"), F.col("cls").alias("a"), "loose", F.col("org").alias("oa"), F.col("suffix").alias("sa")), ["k", "wa"])
-        .join(right.select("k", F.col("w").alias("wb"), F.col("cls").alias("b"), F.col("org").alias("ob"), F.col("suffix").alias("sb")), ["k", "wb"])
-        .where("a <> b and oa = ob and sa = sb").where(F.col("loose") | (F.col("a") < F.col("b")))
-        .select("a", "b", "k").distinct()
-    )
+    form = cut(cls.join(weights, "cls").select("cls", _told().alias("t")))
+    pairs = may_link(alike, left, right)
     pairs = (
-        pairs.join(form.select(F.col("cls").alias("a"), F.col("f").alias("fa"), F.col("t").alias("ta")), "a")
-        .join(form.select(F.col("cls").alias("b"), F.col("f").alias("fb"), F.col("t").alias("tb")), "b")
-        .where(may_agree("fa", "fb"))
+        pairs.join(form.select(F.col("cls").alias("a"), F.col("t").alias("ta")), "a")
+        .join(form.select(F.col("cls").alias("b"), F.col("t").alias("tb")), "b")
         .select("a", "b", "k", "ta", "tb")
     )
     links = pairs.mapInPandas(_verify, _OUT)
@@ -220,6 +233,7 @@ def linked_classes(cls: DataFrame, hot_links: int = HOT_LINKS) -> DataFrame:
     short = (F.size("words") < 2) | F.exists("words", lambda w: w.isin(*several))
     vague = cls.select("cls", (F.col("city").isNull() | F.col("state").isNull()).alias("loose"), (short & ~F.col("org")).alias("short"))
     sides = cut(links.join(vague.select(F.col("cls").alias("a"), F.col("loose").alias("la"), F.col("short").alias("sa")), "a").join(vague.select(F.col("cls").alias("b"), F.col("loose").alias("lb"), F.col("short").alias("sb")), "b"))
+    release(cls.sparkSession)
     first = cut(place_components(sides.where("not weak and not la and not lb").select("a", "b", "k"), hot_links))
     # classes that are vague by themselves, or linked by an ambiguous short form, choose among components
     unsure = sides.where("weak or la or lb")
@@ -244,6 +258,7 @@ def linked_contributions(contributions: DataFrame) -> DataFrame:
     Rows without id or name, and names without a word, are left out; repeated rows count once.
     """
     members, cls = classes_of(contributions)
+    release(contributions.sparkSession)
     nodes = linked_classes(cls)
     return members.join(nodes.withColumnRenamed("node", "cls"), "cls", "left").select("contribution_id", F.col("name").alias("contributor_name"), F.coalesce("root", "cls").alias("entity"))
 
